@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayscope.sources import spread_rows
+
 
 class Entries:
     """Queries of one module and the SQL that must give the same rows."""
@@ -78,7 +80,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").withColumn("_place", (F.col("p_partkey") % 25).cast("int"))
     customer = table(spark, sf_dir, "customer").join(guest, "c_nationkey")
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    lines = spread_rows(table(spark, sf_dir, "lineitem")).withColumnRenamed("l_partkey", "p_partkey")
     rows = (
         lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
         .join(customer, "c_custkey")

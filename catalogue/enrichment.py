@@ -130,12 +130,12 @@ def nationality_index(spark, sf_dir):
 def unseen_category_index(spark, sf_dir):
     """Index learned on some rows and applied to all; unknown values come last."""
     part = table(spark, sf_dir, "part")
-    labels = index_labels(part.where("p_size <= 25"), "p_brand")
+    labels = index_labels(part.where("p_size <= 25"), ["p_brand"])
     seen = part.select(
         "p_partkey", F.concat("p_brand", "p_type").alias("v2"),
         F.when(F.col("p_size") % 9 == 0, "new").otherwise(F.col("p_brand")).alias("p_brand"),
     )
-    return apply_index(seen, labels, "p_brand", "code").drop("p_brand")
+    return apply_index(seen, labels, {"p_brand": "code"}).drop("p_brand")
 
 
 _AVG = [f"avg_{c}" for c in R.AVERAGED]

@@ -125,10 +125,13 @@ def price_line(spark, sf_dir):
 
 
 def _hotels(spark, sf_dir):
-    """Hotel features joined to hotel rows, with stars, written once for all fits."""
-    lookup = nation_lookup(spark, sf_dir)
-    df = R.enriched(R.typed(R.repair(raw_reviews(spark, sf_dir))), lookup, "ord")
-    df = R.tokenised(df)
+    """Hotel features joined to hotel rows, with stars.
+
+    The cleaned reviews and the features are written once each, as several passes read them.
+    """
+    cleaned = R.tokenised(R.typed(R.repair(raw_reviews(spark, sf_dir))))
+    used = list(dict.fromkeys([*R.HOTEL_COLUMNS, "Reviewer_Nationality", *R.AVERAGED]))
+    df = R.enriched(cut_lineage(cleaned.select(*used)), nation_lookup(spark, sf_dir), "ord")
     return cut_lineage(R.with_stars(R.hotel_features(df, R.hotels_of(df))))
 
 
@@ -143,7 +146,7 @@ def hotel_score_regressors(spark, sf_dir):
     rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES, invalid="skip")
     rows = rows.withColumn("label", F.col("avg_Average_Score"))
     train, test = hash_split(rows, ["Hotel_Name", "Hotel_Address"], [0.8, 0.2])
-    return L.compare_regressors(train, test, L.regressors(rounds=20))
+    return L.compare_regressors(train, test, L.regressors())
 
 
 @entries.add()

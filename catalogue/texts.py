@@ -10,12 +10,13 @@ from catalogue.base import RAW, Entries, raw_reviews, sql_no_stop_words, sql_tok
 from stayscope.functions import contains_sequence, normalise_text, word_count
 from stayscope.operators import tokens as K
 from stayscope.operators.lemma import lemmatize
+from stayscope.sources import spread_rows
 
 entries = Entries()
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _tokens(spark, sf_dir):

@@ -2,30 +2,58 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.operators.joins import attach
 from stayscope.operators.ordering import row_numbers
+from stayscope.sources.checkpoints import cut_lineage
 
 
-def index_labels(df: DataFrame, col: str) -> DataFrame:
-    """The values of `col` with their index (double): most frequent first, then alphabetical.
+def index_labels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The values of each column with their index: (column, value, index).
 
-    The ranking is a distributed sort of the distinct values, so there may be as many as rows.
+    The most frequent value has index 0, equal counts are alphabetical. All columns are counted
+    in one pass over the rows; their distinct values, of which there may be as many as rows, are
+    ranked by one distributed sort.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
+    )
+    counts = (
+        df.select(F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    ranked = cut_lineage(row_numbers(counts, ["column", F.desc("_n"), "value"], "_row"))
+    first = ranked.groupBy("column").agg(F.min("_row").alias("_first"))  # one row per column
+    index = (F.col("_row") - F.col("_first")).cast("double")
+    return ranked.join(F.broadcast(first), "column").select("column", "value", index.alias("index"))
+
+
+def apply_index(df: DataFrame, labels: DataFrame, outs: Mapping[str, str]) -> DataFrame:
+    """Add to each column in `outs` its index under the given name.
+
+    NULL and values without a label take the number of labels of their column.
     """
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = row_numbers(counts, [F.desc("_n"), F.col(col).cast("string")], "_row")
-    return numbered.select(col, (F.col("_row") - 1).cast("double").alias("index"))
+    for col, out in outs.items():
+        mine = labels.where(F.col("column") == col)
+        unknown = mine.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+        key = f"_{col}_key"
+        table = mine.select(F.col("value").alias(key), F.col("index").alias(out))
+        coded = attach(df.withColumn(key, F.col(col).cast("string")), table, key)
+        df = coded.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
+    return df
 
 
-def apply_index(df: DataFrame, labels: DataFrame, col: str, out: str) -> DataFrame:
-    """Add the index of `col`; NULL and unknown values take the number of labels."""
-    unknown = labels.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    coded = attach(df, labels.withColumnRenamed("index", out), col)
-    return coded.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
+def index_category(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Add the frequency index of one column."""
+    return index_categories(df, {col: out})
 
 
-def index_category(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add the frequency index of `col`, as `index_labels` ranks it."""
-    return apply_index(df, index_labels(df, col), col, out)
+def index_categories(df: DataFrame, outs: Mapping[str, str]) -> DataFrame:
+    """Add the frequency index of several columns, ranked together."""
+    return apply_index(df, index_labels(df, list(outs)), outs)

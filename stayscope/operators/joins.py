@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 2**20
 SALTS = 16
 
 
-def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `table` has at most `rows` rows; looks at no more than one row beyond that."""
-    return table.select(F.lit(1)).limit(rows + 1).count() <= rows
+def fits_broadcast(
+    table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+) -> bool:
+    """Whether `table` stays within a number of rows and of bytes, as text.
+
+    Looks at no more than one row beyond the limit.
+    """
+    width = F.length(F.to_json(F.struct(*table.columns)))
+    seen = table.limit(rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
+    ).first()
+    return seen["rows"] <= rows and seen["size"] <= size
 
 
 def attach(

@@ -6,43 +6,48 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from stayscope.operators.joins import fits_broadcast
 from stayscope.sources.checkpoints import cut_lineage
 
 SLOT = "_slot"
 PUSHED_RANK = 1000
+ONE_TASK_ROWS = 100_000
 
 
 def running_totals(
-    df: DataFrame, order: Sequence[Column | str], totals: Mapping[str, Column | str]
+    df: DataFrame,
+    order: Sequence[Column | str],
+    totals: Mapping[str, Column | str],
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add, per name in `totals`, the sum of its expression over all rows up to this one.
 
-    `order` should identify rows. Rows are range-partitioned by it; each partition sums its own
-    rows and adds what the partitions before it hold. The only window without a key runs over
-    one row per partition. The placement is written once, as a second run of the shuffle could
-    cut the ranges elsewhere.
+    `order` should identify rows. A table counted to be small is summed in one task. A larger
+    one is range-partitioned by `order`; each partition sums its own rows and adds what the
+    partitions before it hold, so the only window without a key runs over one row per partition.
+    Input and placement are written, as a second run of the shuffle could cut the ranges
+    elsewhere.
     """
     steps = {name: F.col(c) if isinstance(c, str) else c for name, c in totals.items()}
-    placed = cut_lineage(
-        df.withColumns(steps)
-        .repartitionByRange(*order)
-        .withColumn(SLOT, F.spark_partition_id())
-    )
+    base = cut_lineage(df.withColumns(steps))
+    up_to_here = (Window.unboundedPreceding, Window.currentRow)
+    if fits_broadcast(base, one_task_rows):
+        whole = Window.orderBy(*order).rowsBetween(*up_to_here)
+        return base.withColumns({name: F.sum(name).over(whole) for name in totals})
+    placed = cut_lineage(base.repartitionByRange(*order).withColumn(SLOT, F.spark_partition_id()))
     before = Window.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(SLOT)
         .agg(*[F.sum(name).alias(name) for name in totals])
         .select(
-            SLOT, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_to_{name}") for name in totals]
+            SLOT,
+            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_to_{n}") for n in totals],
         )
     )
-    within = (
-        Window.partitionBy(SLOT)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    within = Window.partitionBy(SLOT).orderBy(*order).rowsBetween(*up_to_here)
     return (
         placed.join(F.broadcast(offsets), SLOT)
         .withColumns({n: F.sum(n).over(within) + F.col(f"_to_{n}") for n in totals})
@@ -50,16 +55,28 @@ def running_totals(
     )
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column | str], out: str = "row") -> DataFrame:
+def row_numbers(
+    df: DataFrame,
+    order: Sequence[Column | str],
+    out: str = "row",
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
     """Number all rows from 1 in `order`, over as many tasks as the sort has partitions."""
-    return running_totals(df, order, {out: F.lit(1).cast("long")})
+    return running_totals(df, order, {out: F.lit(1).cast("long")}, one_task_rows)
+
+
+def as_number(df: DataFrame, c: str) -> Column:
+    """A column as double; NULL for text that is no number, most of which is told by its start."""
+    if not isinstance(df.schema[c].dataType, T.StringType):
+        return F.col(c).cast("double")
+    return F.when(F.col(c).rlike(r"^\s*[+-]?[\d.iInN]"), F.col(c).try_cast("double"))
 
 
 def tally(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct value: `by`, column, value (double), n. NULLs are left out."""
     pairs = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), F.col(c).try_cast("double").alias("value"))
+            F.struct(F.lit(c).alias("column"), as_number(df, c).alias("value"))
             for c in cols
         ]
     )
@@ -71,13 +88,18 @@ def tally(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFra
     )
 
 
-def quantiles_of(tallied: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles of a `tally`, one row per group and column with a `q` map per probability.
+def quantiles_of(
+    tallied: DataFrame,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
+    """Exact quantiles of a `tally`: `by`, column, n, and q0, q1, … in the order of `probs`.
 
     Values are ordered over the whole cluster, so a group may hold any share of the rows.
     """
     keys = [*by, "column"]
-    placed = running_totals(tallied, [*keys, "value"], {"upto": "n"})
+    placed = running_totals(tallied, [*keys, "value"], {"upto": "n"}, one_task_rows)
     placed = cut_lineage(placed)
     sizes = placed.groupBy(*keys).agg(
         F.max("upto").alias("_last"), F.sum("n").alias("_size")

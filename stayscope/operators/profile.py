@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.operators.joins import attach
-from stayscope.operators.ordering import quantiles_of, tally
+from stayscope.operators.ordering import as_number, quantiles_of, tally
 from stayscope.sources.checkpoints import cut_lineage
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -25,7 +25,7 @@ def summarise(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFra
     """
     parts = []
     for i, c in enumerate(cols):
-        number = F.col(c).try_cast("double")
+        number = as_number(df, c)
         quartiles = F.percentile_approx(number, QUARTILES, 10_000)
         parts.append(
             F.struct(

@@ -18,7 +18,7 @@ from stayscope.functions import (
     token_count,
     word_count,
 )
-from stayscope.operators.encode import index_category
+from stayscope.operators.encode import index_categories
 from stayscope.operators.features import entity_features
 from stayscope.operators.geo import suffix_lookup
 from stayscope.operators.lemma import lemmatize
@@ -105,9 +105,8 @@ def typed(df: DataFrame) -> DataFrame:
 def enriched(df: DataFrame, countries: DataFrame, order_col: str) -> DataFrame:
     """Country by the end of the address, and indices of country, nationality and hotel."""
     df = suffix_lookup(df, "Hotel_Address", countries, "name", "ISO", order_col)
-    for col in ("Country", "Reviewer_Nationality", "Hotel_Name"):
-        df = index_category(df, col, f"{col}_Encoded")
-    return df
+    indexed = ("Country", "Reviewer_Nationality", "Hotel_Name")
+    return index_categories(df, {col: f"{col}_Encoded" for col in indexed})
 
 
 def tokenised(df: DataFrame) -> DataFrame:

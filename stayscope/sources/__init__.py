@@ -1,7 +1,7 @@
 """Tables in and out, and the shared folder for intermediate results."""
 
 from stayscope.sources.checkpoints import cut_lineage, load_checkpoint, save_checkpoint, shared_folder
-from stayscope.sources.tables import column_types, head_rows, read_table, shape
+from stayscope.sources.tables import column_types, head_rows, read_table, shape, spread_rows
 
 __all__ = [
     "column_types",
@@ -12,4 +12,5 @@ __all__ = [
     "save_checkpoint",
     "shape",
     "shared_folder",
+    "spread_rows",
 ]

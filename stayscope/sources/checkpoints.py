@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared folder, so a lost executor cannot change or redo it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Compute `df` once into a new table in the shared folder and read it from there.
+
+    Later steps cannot change or redo it when an executor is lost, and read only the columns
+    they need. The tables stay until the folder is emptied, like other checkpoints.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stayscope-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def save_checkpoint(df: DataFrame, root: str, name: str) -> DataFrame:

@@ -47,6 +47,16 @@ def read_table(
     return table.repartition(compressed_parts) if compressed_parts else table
 
 
+def spread_rows(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a plain file scan if it has fewer splits than the cluster has cores.
+
+    A table kept as a few large row groups would otherwise be worked on by as few tasks; one
+    with enough splits is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def head_rows(df: DataFrame, n: int, order_by: Sequence[Column | str]) -> DataFrame:
     """First `n` rows in a stated order."""
     return df.orderBy(*order_by).limit(n)
