@@ -46,7 +46,5 @@ def attach(
         return df.join(F.broadcast(table), on, how)
     salt = "_salt"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    repeated = table.withColumn(
-        salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("int")
-    )
+    repeated = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*on, salt], how).drop(salt)

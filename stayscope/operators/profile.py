@@ -65,10 +65,11 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     data = df.select(F.col(col).cast("double").alias("v")).where("v is not null and not isnan(v)")
     span = data.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
     width = (F.col("s.hi") - F.col("s.lo")) / bins
-    place = F.least(F.floor((F.col("v") - F.col("s.lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    steps = F.floor((F.col("v") - F.col("s.lo")) / F.nullif(width, F.lit(0.0)))
+    place = F.least(F.coalesce(steps, F.lit(0)), F.lit(bins - 1))
     counts = (
         data.withColumn("s", span)
-        .groupBy(F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
+        .groupBy(place.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     edges = (
