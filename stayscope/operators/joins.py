@@ -12,18 +12,19 @@ BROADCAST_BYTES = 64 * 2**20
 SALTS = 16
 
 
+def has_at_most(table: DataFrame, rows: int) -> bool:
+    """Whether `table` has no more than `rows` rows; looks at no more than one beyond."""
+    return table.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
 def fits_broadcast(
     table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
 ) -> bool:
-    """Whether `table` stays within a number of rows and of bytes, as text.
-
-    Looks at no more than one row beyond the limit.
-    """
+    """Whether `table` stays within a number of rows and, written as text, of bytes."""
+    if not has_at_most(table, rows):
+        return False
     width = F.length(F.to_json(F.struct(*table.columns)))
-    seen = table.limit(rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")
-    ).first()
-    return seen["rows"] <= rows and seen["size"] <= size
+    return (table.agg(F.sum(width).alias("size")).first()["size"] or 0) <= size
 
 
 def attach(

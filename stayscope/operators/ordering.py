@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from stayscope.operators.joins import fits_broadcast
+from stayscope.operators.joins import has_at_most
 from stayscope.sources.checkpoints import cut_lineage
 
 SLOT = "_slot"
@@ -22,6 +22,7 @@ def running_totals(
     order: Sequence[Column | str],
     totals: Mapping[str, Column | str],
     one_task_rows: int = ONE_TASK_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Add, per name in `totals`, the sum of its expression over all rows up to this one.
 
@@ -29,12 +30,13 @@ def running_totals(
     one is range-partitioned by `order`; each partition sums its own rows and adds what the
     partitions before it hold, so the only window without a key runs over one row per partition.
     Input and placement are written, as a second run of the shuffle could cut the ranges
-    elsewhere.
+    elsewhere; an input that is `stored` already is not written again.
     """
     steps = {name: F.col(c) if isinstance(c, str) else c for name, c in totals.items()}
-    base = cut_lineage(df.withColumns(steps))
+    base = df.withColumns(steps)
+    base = base if stored else cut_lineage(base)
     up_to_here = (Window.unboundedPreceding, Window.currentRow)
-    if fits_broadcast(base, one_task_rows):
+    if has_at_most(base, one_task_rows):
         whole = Window.orderBy(*order).rowsBetween(*up_to_here)
         return base.withColumns({name: F.sum(name).over(whole) for name in totals})
     placed = cut_lineage(base.repartitionByRange(*order).withColumn(SLOT, F.spark_partition_id()))
@@ -93,13 +95,14 @@ def quantiles_of(
     probs: Sequence[float],
     by: Sequence[str] = (),
     one_task_rows: int = ONE_TASK_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Exact quantiles of a `tally`: `by`, column, n, and q0, q1, … in the order of `probs`.
 
     Values are ordered over the whole cluster, so a group may hold any share of the rows.
     """
     keys = [*by, "column"]
-    placed = running_totals(tallied, [*keys, "value"], {"upto": "n"}, one_task_rows)
+    placed = running_totals(tallied, [*keys, "value"], {"upto": "n"}, one_task_rows, stored)
     placed = cut_lineage(placed)
     sizes = placed.groupBy(*keys).agg(
         F.max("upto").alias("_last"), F.sum("n").alias("_size")

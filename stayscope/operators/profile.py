@@ -162,7 +162,7 @@ def density(
 def box_stats(df: DataFrame, group: str, col: str, whisker: float = 1.5) -> DataFrame:
     """Per group: quartiles, the furthest values within the whiskers' reach, and outliers beyond."""
     counted = cut_lineage(tally(df, [col], [group]).where(F.col(group).isNotNull()))
-    quartiles = quantiles_of(counted, QUARTILES, [group]).select(
+    quartiles = quantiles_of(counted, QUARTILES, [group], stored=True).select(
         group, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
     )
     reach = whisker * (F.col("q3") - F.col("q1"))

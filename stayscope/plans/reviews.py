@@ -17,6 +17,7 @@ from stayscope.functions import (
     text_or_empty,
     token_count,
     word_count,
+    word_tokens,
 )
 from stayscope.operators.encode import index_categories
 from stayscope.operators.features import entity_features
@@ -28,7 +29,6 @@ from stayscope.operators.tokens import (
     says_no,
     short_not_at_all,
     short_nothing,
-    tokenize,
 )
 
 RAW_SCHEMA = """
@@ -112,31 +112,30 @@ def enriched(df: DataFrame, countries: DataFrame, order_col: str) -> DataFrame:
 def tokenised(df: DataFrame) -> DataFrame:
     """Word counts, tokens, and the remarks that say nothing emptied before stop words go.
 
-    Lemmas replace tokens one for one, so the lemma counts are known without the lemmas.
+    Both sides share each projection, which keeps the plan short. The rules for negative remarks
+    are met by the tokens as they come, so one of them hitting is enough. Lemmas replace tokens
+    one for one, so the lemma counts are known without the lemmas.
     """
-    for side in ("Negative", "Positive"):
-        df = df.withColumn(f"{side}_Word_Count", word_count(f"{side}_Review")).withColumn(
-            f"{side}_Review_safe", text_or_empty(f"{side}_Review")
-        )
-        df = tokenize(df, f"{side}_Review_safe", f"{side}_Tokens_Array")
-        counted = F.when(F.col(f"{side}_Review").isNotNull(), token_count(f"{side}_Tokens_Array"))
-        df = df.withColumn(f"{side}_Tokens_Count", counted)
-    negative = ("Negative_Review", "Negative_Tokens_Array", "Negative_Tokens_Count")
-    positive = ("Positive_Review", "Positive_Tokens_Array", "Positive_Tokens_Count")
-    df = neutralise(df, short_not_at_all("Negative_Tokens_Array"), *negative)
-    df = neutralise(df, short_nothing("Negative_Tokens_Array"), *negative)
-    df = neutralise(df, says_no("Negative_Tokens_Array", "negative"), *negative)
-    df = neutralise(df, short_nothing("Positive_Tokens_Array"), *positive)
-    for side in ("Negative", "Positive"):
-        df = remove_stop_words(df, f"{side}_Tokens_Array", f"{side}_Filtered_Tokens")
-        kept = token_count(f"{side}_Filtered_Tokens")
-        df = df.withColumns(
-            {
-                f"{side}_Tokens_Count": F.when(F.col(f"{side}_Review").isNotNull(), kept),
-                f"{side}_Lemma_Count": kept,
-            }
-        )
-    return df
+    sides = ("Negative", "Positive")
+    safe = {f"{s}_Review_safe": text_or_empty(f"{s}_Review") for s in sides}
+    df = df.withColumns({f"{s}_Word_Count": word_count(f"{s}_Review") for s in sides} | safe)
+    df = df.withColumns({f"{s}_Tokens_Array": word_tokens(f"{s}_Review_safe") for s in sides})
+    empty = {
+        "Negative": short_not_at_all("Negative_Tokens_Array")
+        | short_nothing("Negative_Tokens_Array")
+        | says_no("Negative_Tokens_Array", "negative"),
+        "Positive": short_nothing("Positive_Tokens_Array"),
+    }
+    for s in sides:
+        df = df.withColumn(f"{s}_Tokens_Count", token_count(f"{s}_Tokens_Array"))
+        df = neutralise(df, empty[s], f"{s}_Review", f"{s}_Tokens_Array", f"{s}_Tokens_Count")
+    for s in sides:
+        df = remove_stop_words(df, f"{s}_Tokens_Array", f"{s}_Filtered_Tokens")
+    kept = {s: token_count(f"{s}_Filtered_Tokens") for s in sides}
+    return df.withColumns(
+        {f"{s}_Tokens_Count": F.when(F.col(f"{s}_Review").isNotNull(), kept[s]) for s in sides}
+        | {f"{s}_Lemma_Count": kept[s] for s in sides}
+    )
 
 
 def lemmatised(df: DataFrame, id_col: str, lexicon: DataFrame | None = None) -> DataFrame:
