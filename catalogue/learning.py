@@ -192,7 +192,7 @@ def _sentiment(spark, sf_dir, ngrams):
     model = L.fit_all(train, {"m": L.sentiment_model(ngrams)})["m"]
     scored = cut_lineage(L.score_texts(model, test))
     quality = M.class_metrics(scored, "label", "prediction", positive=0)
-    return quality.join(F.broadcast(M.auc(scored, "label", "p_positive")))
+    return quality.withColumn("auc", M.auc(scored, "label", "p_positive").scalar())
 
 
 @entries.add()

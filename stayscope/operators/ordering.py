@@ -167,21 +167,21 @@ def top_k_per(
     return ranked.where(F.col(out) <= k)
 
 
-def select_groups_within(df: DataFrame, key: str, budget: int) -> DataFrame:
+def select_groups_within(
+    df: DataFrame, key: str, budget: int, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Rows of the largest groups whose sizes add up to at most `budget`.
 
     Groups are taken by falling size, then key, up to the first that does not fit. Every group
-    has a row, so no more than `budget` groups can be taken and only that many are ordered.
+    has a row, so no more than `budget` groups can be taken: a modest budget orders only that
+    many, a larger one goes by distributed running totals.
     """
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.orderBy(F.desc("_n"), F.asc_nulls_first(key)).limit(budget)
-    upto = Window.orderBy(F.desc("_n"), F.asc_nulls_first(key)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    taken = (
-        largest.withColumn("_total", F.sum("_n").over(upto))
-        .where(F.col("_total") <= budget)
-        .where(F.col(key).isNotNull())
-        .select(key)
-    )
+    order = [F.desc("_n"), F.asc_nulls_first(key)]
+    if budget <= one_task_rows:
+        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = sizes.orderBy(*order).limit(budget).withColumn("_total", F.sum("_n").over(upto))
+    else:
+        ranked = running_totals(sizes, order, {"_total": "_n"}, one_task_rows)
+    taken = ranked.where((F.col("_total") <= budget) & F.col(key).isNotNull()).select(key)
     return df.join(taken, key, "left_semi")

@@ -47,6 +47,13 @@ def read_table(
     return table.repartition(compressed_parts) if compressed_parts else table
 
 
+def in_file_order(scan: DataFrame, out: str = "ord") -> DataFrame:
+    """Number the rows of a small lookup file, scanned in one piece, as they stand in it."""
+    if scan.rdd.getNumPartitions() != 1:
+        raise ValueError("only a file that is scanned in one piece has an order")
+    return scan.withColumn(out, F.monotonically_increasing_id())
+
+
 def spread_rows(scan: DataFrame) -> DataFrame:
     """Deal out the rows of a plain file scan if it has fewer splits than the cluster has cores.
 

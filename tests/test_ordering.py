@@ -54,14 +54,15 @@ def test_quantiles_of_missing_values(spark):
     assert got == {None: (2, 2.0), "b": (1, 5.0)}
 
 
-def test_budget_takes_whole_groups_and_stops(spark, rows):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_budget_takes_whole_groups_and_stops(spark, rows, one_task):
     data = [("a",)] * 6 + [("b",)] * 5 + [("c",)] * 3
     df = spark.createDataFrame(data, "k string")
-    assert rows(O.select_groups_within(df, "k", 10)) == [("a",)] * 6
-    assert O.select_groups_within(df, "k", 11).count() == 11
-    assert O.select_groups_within(df, "k", 5).count() == 0
+    assert rows(O.select_groups_within(df, "k", 10, one_task)) == [("a",)] * 6
+    assert O.select_groups_within(df, "k", 11, one_task).count() == 11
+    assert O.select_groups_within(df, "k", 5, one_task).count() == 0
     ties = spark.createDataFrame([("b",), ("a",), ("c",)], "k string")
-    assert rows(O.select_groups_within(ties, "k", 2)) == [("a",), ("b",)]
+    assert rows(O.select_groups_within(ties, "k", 2, one_task)) == [("a",), ("b",)]
 
 
 @pytest.mark.parametrize("k", [3, 1500])

@@ -17,6 +17,7 @@ from stayscope.sources import (
     column_types,
     cut_lineage,
     head_rows,
+    in_file_order,
     load_checkpoint,
     read_table,
     save_checkpoint,
@@ -69,7 +70,8 @@ def raw(spark, files):
 def cleaned(spark, files, raw):
     """Repaired, typed, enriched and tokenised reviews."""
     countries = read_table(spark, str(files / "countries.csv"), R.COUNTRY_SCHEMA, sep="\t")
-    countries = countries.withColumn("ord", F.monotonically_increasing_id())
+    countries = in_file_order(countries)
+    assert [r.ISO for r in countries.orderBy("ord").collect()] == ["AT", "NA", "UM", "GB"]
     assert countries.where("ISO = 'NA'").count() == 1 and countries.where("lat is null").count() == 1
     return cut_lineage(R.tokenised(R.enriched(R.typed(R.repair(raw)), countries, "ord")))
 
