@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayscope.operators.joins import attach
 from stayscope.operators.ordering import as_number, quantiles_of, tally
@@ -21,25 +23,31 @@ def summarise(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFra
 
     Text columns count every value, and take the rest over those that are numbers, except for
     min and max, which follow the text. Without `exact` the quartiles are elements of the data
-    within 1/10000 of the asked rank, found in the same single pass.
+    within 1/10000 of the asked rank, found in the same pass. Numbers and texts are read in one
+    pass each, over their own columns.
     """
-    parts = []
-    for i, c in enumerate(cols):
-        number = as_number(df, c)
-        quartiles = F.percentile_approx(number, QUARTILES, 10_000)
-        parts.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(number).alias("mean"),
-                F.stddev_samp(number).alias("stddev"),
-                F.min(c).cast("string").alias("min"),
-                (F.lit(None).cast("array<double>") if exact else quartiles).alias("q"),
-                F.max(c).cast("string").alias("max"),
-            ).alias(f"_c{i}")
-        )
-    wide = df.agg(*parts)
-    long = wide.select(F.inline(F.array(*[F.col(f"_c{i}") for i in range(len(cols))])))
+
+    def pass_over(names: list[str]) -> DataFrame:
+        parts = []
+        for c in names:
+            number = as_number(df, c)
+            quartiles = F.percentile_approx(number, QUARTILES, 10_000)
+            facts = {
+                "count": F.count(c),
+                "mean": F.avg(number),
+                "stddev": F.stddev_samp(number),
+                "min": F.min(c).cast("string"),
+                "q": F.lit(None).cast("array<double>") if exact else quartiles,
+                "max": F.max(c).cast("string"),
+            }
+            parts.append(F.struct(F.lit(c).alias("column"), *[v.alias(k) for k, v in facts.items()]))
+        wide = df.agg(*[part.alias(f"_c{i}") for i, part in enumerate(parts)])
+        return wide.select(F.inline(F.array(*[F.col(f"_c{i}") for i in range(len(names))])))
+
+    # Smallest and largest texts cannot be kept in a hash aggregation; numbers need not wait for them.
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    kinds = [kind for kind in ([c for c in cols if c not in texts], texts) if kind]
+    long = reduce(DataFrame.unionByName, [pass_over(kind) for kind in kinds])
     names = ["q25", "q50", "q75"]
     if not exact:
         qs = [F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)]

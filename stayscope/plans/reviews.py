@@ -31,6 +31,7 @@ from stayscope.operators.tokens import (
     short_nothing,
 )
 
+# The columns of a raw review table and of a country lookup.
 RAW_SCHEMA = """
     Hotel_Address string, Additional_Number_of_Scoring int, Review_Date string,
     Average_Score double, Hotel_Name string, Reviewer_Nationality string,
@@ -42,6 +43,8 @@ RAW_SCHEMA = """
 """
 COUNTRY_SCHEMA = "ISO string, lat double, lng double, name string"
 
+# The numeric columns that are profiled, the ones averaged per hotel, and the
+# features of each model.
 NUMERIC = [
     "Additional_Number_of_Scoring",
     "Average_Score",

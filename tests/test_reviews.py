@@ -56,7 +56,7 @@ def files(tmp_path_factory):
     lines += lines[1:21]
     with gzip.open(folder / "reviews.csv.gz", "wt") as f:
         f.write("\n".join(lines))
-    (folder / "countries.csv").write_text("ISO\tlat\tlng\tname\nAT\t47.5\t14.5\tAustria\nNA\t-22.9\t18.4\tNamibia\nUM\t\t\tIslands\nGB\t55.3\t-3.4\tUnited Kingdom\n")
+    (folder / "lookup.tsv").write_text("ISO\tlat\tlng\tname\nAT\t47.5\t14.5\tAustria\nNA\t-22.9\t18.4\tNamibia\nUM\t\t\tIslands\nGB\t55.3\t-3.4\tUnited Kingdom\n")
     return folder
 
 
@@ -69,7 +69,7 @@ def raw(spark, files):
 @pytest.fixture(scope="module")
 def cleaned(spark, files, raw):
     """Repaired, typed, enriched and tokenised reviews."""
-    countries = read_table(spark, str(files / "countries.csv"), R.COUNTRY_SCHEMA, sep="\t")
+    countries = read_table(spark, str(files / "lookup.tsv"), R.COUNTRY_SCHEMA, sep="\t")
     countries = in_file_order(countries)
     assert [r.ISO for r in countries.orderBy("ord").collect()] == ["AT", "NA", "UM", "GB"]
     assert countries.where("ISO = 'NA'").count() == 1 and countries.where("lat is null").count() == 1
