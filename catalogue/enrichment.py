@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.base import HOTELS, TOKENISED, TYPED, Entries, raw_reviews, table
+from catalogue.base import HOTELS, TYPED, Entries, raw_reviews, table
 from stayscope.operators.cluster import cluster_profile
 from stayscope.operators.encode import apply_index, index_category, index_labels
 from stayscope.operators.features import attach_dimension, entity_features
