@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from stayscope.operators.joins import fits_broadcast
 
@@ -54,3 +58,29 @@ def without(df: DataFrame, losers: DataFrame, keys: dict[str, Column]) -> DataFr
     for k, value in keys.items():
         same = same & value.eqNullSafe(F.col(f"_lost_{k}"))
     return df.join(found, same, "left_anti")
+
+
+def map_texts(
+    df: DataFrame,
+    text: str,
+    keep: list[str],
+    make: Callable[[list[str]], list[Sequence]],
+    fields: list[tuple[str, pa.DataType]],
+) -> DataFrame:
+    """Columns `keep` of every row, and those that `make` derives from a batch of texts (NULL: empty).
+
+    Rows stay in their partitions; kept columns pass through unchanged.
+    """
+    small_batches(df.sparkSession)
+    named = list(dict.fromkeys([*keep, text]))
+    kinds = df.select(*keep).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = make([t or "" for t in batch.column(text).to_pylist()])
+            columns = [pa.array(c, type=kind) for c, (_, kind) in zip(made, fields, strict=True)]
+            names = [*keep, *[name for name, _ in fields]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], *columns], names)
+
+    schema = T.StructType([*kinds.fields, *[T.StructField(n, from_arrow_type(k)) for n, k in fields]])
+    return df.select(*named).mapInArrow(run, schema)

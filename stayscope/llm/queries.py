@@ -1,13 +1,16 @@
 """The corpus operators' queries over the given tables, and their SQL where SQL can express them."""
 
-from stayscope.llm import exact_dedup, mixing
+from stayscope.llm import chat, exact_dedup, mixing, secrets
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op6_chat_format": chat.op6_chat_format,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 
 ORACLE_SQL = {
     "op1_source_mix": mixing.OP1_SQL,
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op6_chat_format": chat.OP6_SQL,
 }
