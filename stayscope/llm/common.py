@@ -84,3 +84,18 @@ def map_texts(
 
     schema = T.StructType([*kinds.fields, *[T.StructField(n, from_arrow_type(k)) for n, k in fields]])
     return df.select(*named).mapInArrow(run, schema)
+
+
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """Join groups (one row per `key`, with their number of rows in `size`) to their rows.
+
+    Groups with more than a thousandth of all `total` rows, of which there are fewer than a thousand,
+    are broadcast; the others are joined by a shuffle in which no key is large.
+    """
+    large = F.col(size) * HOT_SHARE > total
+    hot, cold = F.broadcast(groups.where(large)), groups.where(~large)
+    rest = rows.join(hot, key, "left_anti").join(cold, key, how)
+    return rows.join(hot, key).unionByName(rest, allowMissingColumns=True)

@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stayscope.llm import fuse
-from stayscope.llm.common import lower_az, small_batches, table
+from stayscope.llm.common import join_groups, lower_az, small_batches, table
 from stayscope.sources.checkpoints import cut_lineage
 
 SHARD_KEYS = 200_000
-HOT_SHARE = 1000
 
 
 @F.pandas_udf("string")
@@ -106,16 +105,11 @@ def exact_copies(docs: DataFrame, bits: int = 64) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
     Of rows with the largest doc_id (NULL is the smallest) one is kept, even if they are
-    identical. NULL texts are empty ones. Classes with more than a thousandth of all rows, of which
-    there are fewer than a thousand, are broadcast, so that no task gets all rows of one.
+    identical. NULL texts are empty ones. No task gets all rows of a large class.
     """
     rows, classes = equal_texts(docs, bits)
     total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
-    hot = F.broadcast(classes.where(F.col("group_size") * HOT_SHARE > total))
-    cold = classes.where(F.col("group_size") * HOT_SHARE <= total)
-    found = rows.join(hot, "sha").unionByName(
-        rows.join(hot, "sha", "left_anti").join(cold, "sha", "left"), allowMissingColumns=True
-    )
+    found = join_groups(rows, classes, "sha", "group_size", total, "left")
     each = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_copy"))
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return each.select(
@@ -134,9 +128,7 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """
     rows, classes = equal_texts(docs)
     total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
-    hot = F.broadcast(classes.where(F.col("group_size") * HOT_SHARE > total))
-    cold = classes.where(F.col("group_size") * HOT_SHARE <= total)
-    joined = rows.join(hot, "sha").unionByName(rows.join(hot, "sha", "left_anti").join(cold, "sha"))
+    joined = join_groups(rows, classes, "sha", "group_size", total)
     lost = joined.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "sha")
     lost = cut_lineage(lost)
     shared = rows.groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("doc_id")
