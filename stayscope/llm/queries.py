@@ -1,11 +1,12 @@
 """The corpus operators' queries over the given tables, and their SQL where SQL can express them."""
 
-from stayscope.llm import chat, exact_dedup, mixing, neighbours, packing, quality, secrets
+from stayscope.llm import chat, exact_dedup, mixing, neighbours, packing, quality, secrets, toxicity
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_nnls_packing": packing.op3_nnls_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality": quality.op5_quality,
     "op6_chat_format": chat.op6_chat_format,
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
