@@ -1,6 +1,6 @@
 """The corpus operators' queries over the given tables, and their SQL where SQL can express them."""
 
-from stayscope.llm import chat, exact_dedup, mixing, neighbours, packing, quality, secrets, toxicity
+from stayscope.llm import chat, exact_dedup, mixing, neighbours, packing, pages, quality, secrets, toxicity
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_quality": quality.op5_quality,
     "op6_chat_format": chat.op6_chat_format,
+    "op7_main_text": pages.op7_main_text,
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
