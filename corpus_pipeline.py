@@ -5,28 +5,53 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stayscope.llm import exact_dedup, mixing
+from stayscope.llm import exact_dedup, mixing, packing, quality, similar
 from stayscope.sources.checkpoints import shared_folder
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
+    """Of equal texts the one with the largest doc_id stays."""
     return exact_dedup.without_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of similarity 0.8 or more hold together, the one with the smallest doc_id stays."""
+    return similar.one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to their weights: documents repeat, end early or go."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("exact dedup", exact), ("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents of the mix, packed into sequences of 4096 ids, with the ids themselves."""
+    import public_tokenizers
+
+    found = packing.packed_ids(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality classifier", good),
+    ("exact dedup", exact),
+    ("n-gram Jaccard join", near),
+    ("mixing sources to target weights", mix),
+    ("packing", pack),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # a fitted classifier decides the first stage; see tests/llm for brute-force versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written as Parquet and read again."""
+    """All stages over `documents`, each written as Parquet and read again; repeatable."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
