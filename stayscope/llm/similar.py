@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stayscope.llm.common import join_groups, small_batches, table, without
 from stayscope.llm.components import connected
@@ -395,10 +396,11 @@ def link_labels(docs: DataFrame, rows: DataFrame, order: np.ndarray, words: int,
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, and node (its set; NULL if empty).
+    """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, node (its set) and label (its component).
 
     component_id is the smallest doc_id that links reach; documents with equal sets are linked, those
-    without words are linked with nothing. Repeated rows and repeated doc_ids are fine.
+    without words are linked with nothing, and have neither node nor label. NULL and empty texts have no
+    words. Repeated rows and repeated doc_ids are fine: what is linked are sets.
     """
     rows, order = described(docs, words)
     labels = link_labels(docs, rows, order, words, share)
@@ -408,26 +410,45 @@ def similar_documents(docs: DataFrame, words: int = WORDS, share: tuple[int, int
     several = lows.where(F.col("members") > 1)
     total = placed.count()
     ids = join_groups(placed, several, "label", "members", total, "left").select(
-        "node", "size", F.coalesce("component_id", "low").alias("component_id")
+        "node", "size", "label", F.coalesce("component_id", "low").alias("component_id")
     )
     ids = cut_lineage(ids)
     plain = rows.select("doc_id", "node", F.col("n").alias("n_shingles"))
     total = plain.count()
     with_words = join_groups(plain.where(F.col("node").isNotNull()), ids, "node", "size", total, "left")
     found = with_words.drop("size").unionByName(
-        plain.where(F.col("node").isNull()).withColumn("component_id", F.col("doc_id"))
+        plain.where(F.col("node").isNull()).withColumn("component_id", F.col("doc_id")), allowMissingColumns=True
     )
-    return found.select("doc_id", "n_shingles", "component_id", "node")
+    return found.select("doc_id", "n_shingles", "component_id", "node", "label")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """The rows of `docs` of which no similar one has a smaller doc_id; all columns stay.
+    """One row of every component of similar documents, that with the smallest doc_id; all columns stay.
 
-    Of rows with the same doc_id all that are smallest in their component stay.
+    Rows without words all stay. Rows that share a doc_id are told apart by their sets.
     """
-    found = similar_documents(docs, words, share)
-    lost = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return without(docs, cut_lineage(lost), {"doc_id": F.col("doc_id")})
+    found = cut_lineage(similar_documents(docs, words, share).where(F.col("node").isNotNull()))
+    shared = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = cut_lineage(shared.select(F.col("doc_id").alias("_id")))
+    key = F.col("doc_id").eqNullSafe(F.col("_id"))
+    lost = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).join(shared, key, "left_anti")
+    stay = without(docs, cut_lineage(lost.select("doc_id")), {"doc_id": F.col("doc_id")})
+    if shared.isEmpty():
+        return stay
+
+    @F.pandas_udf("long")
+    def node(texts: pd.Series) -> pd.Series:
+        sets = [shingles(t, words) for t in texts]
+        return pd.Series([node_of(s) if len(s) else None for s in sets], dtype="Int64")
+
+    told = docs.join(shared, key, "left_semi").select(F.struct(*docs.columns).alias("_row"), node("text").alias("_node"))
+    best = found.join(shared, key, "left_semi").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    best = best.select("node", "label").distinct()
+    first = Window.partitionBy("label").orderBy("_node", F.to_json("_row"))
+    chosen = told.join(best, F.col("_node") == F.col("node"))
+    chosen = chosen.where(F.col("_row.doc_id").isNotNull()).withColumn("_n", F.row_number().over(first))
+    chosen = chosen.where(F.col("_n") == 1).select("_row.*").unionByName(told.where(F.col("_node").isNull()).select("_row.*"))
+    return stay.join(shared, key, "left_anti").unionByName(chosen)
 
 
 def op9_similar_documents(spark, sf_dir) -> DataFrame:
