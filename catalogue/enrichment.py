@@ -63,7 +63,7 @@ def longest_name_at_end(spark, sf_dir):
     lookup = kinds.unionByName(full).groupBy("name").agg(F.min("code").alias("code"))
     texts = part.select("p_partkey", F.concat(F.lit("Best "), "p_name").alias("text"))
     found = suffix_lookup(
-        texts, "text", lookup, "name", "code", "code", prefer="longest", out="code", inline_names=20
+        texts, "text", lookup, "name", "code", "code", prefer="longest", out="code"
     )
     return found.select("p_partkey", "code")
 

@@ -9,7 +9,7 @@ from stayscope.functions.scores import marker_colour
 from stayscope.operators.joins import attach
 from stayscope.sources.checkpoints import cut_lineage
 
-INLINE_NAMES = 1_000
+LISTED_CELLS = 64
 
 
 def suffix_lookup(
@@ -21,39 +21,31 @@ def suffix_lookup(
     order_col: str,
     prefer: str = "first",
     out: str = "Country",
-    inline_names: int = INLINE_NAMES,
 ) -> DataFrame:
     """Add the code of the name that a text ends with, ignoring case; NULL without a match.
 
-    Of several names the first by `order_col` wins, or with ``prefer="longest"`` the longest.
-    A short lookup becomes one expression, so the rows neither move nor meet a join. A longer
-    one is joined on equality: each distinct text offers its ends in the lengths that occur.
+    Of several names the first by `order_col` wins, or with ``prefer="longest"`` the longest; after
+    that NULL orders come last and names and codes decide. Each distinct text offers its ends, in
+    upper case and in the lengths that occur, to an equality join, whatever the lookup's size.
     """
     names = lookup.select(
         F.upper(name_col).alias("_name"), F.col(code_col).alias("_code"), F.col(order_col).alias("_ord")
     ).where(F.length("_name") > 0)
-    order = [F.col("_ord")] if prefer == "first" else [F.desc(F.length("_name")), F.col("_ord")]
-    known = names.orderBy(*order).limit(inline_names + 1).collect()
-    upper = F.upper(text_col)
-    if len(known) <= inline_names:
-        code: Column = F.lit(None).cast(lookup.schema[code_col].dataType)
-        if known:
-            branch = F
-            for row in known:
-                branch = branch.when(upper.endswith(row["_name"]), F.lit(row["_code"]))
-            code = branch.otherwise(F.lit(None))
-        return df.withColumn(out, code)
+    rank = F.struct(F.col("_ord").isNull(), "_ord", "_name", "_code")
+    names = names.groupBy("_name").agg(F.min(rank).alias("_rank"), F.min_by("_code", rank).alias("_code"))
+    names = cut_lineage(names)
     lengths = names.agg(F.collect_set(F.length("_name")).alias("l")).scalar()
     ends = (
         df.select(text_col)
         .where(F.col(text_col).isNotNull())
         .distinct()
-        .withColumn("_len", F.explode(lengths))
-        .where(F.col("_len") <= F.length(text_col))
-        .withColumn("_name", F.right(upper, F.col("_len")))
+        .withColumns({"_upper": F.upper(text_col), "_len": F.explode(lengths)})
+        .where(F.col("_len") <= F.length("_upper"))
+        .withColumn("_name", F.right("_upper", F.col("_len")))
+        .drop("_upper")
     )
-    rank = F.col("_ord") if prefer == "first" else F.struct(-F.col("_len"), F.col("_ord"))
-    found = ends.join(names, "_name").groupBy(text_col).agg(F.min_by("_code", rank).alias(out))
+    best = F.col("_rank") if prefer == "first" else F.struct(-F.col("_len"), F.col("_rank"))
+    found = attach(ends, names, "_name", "inner").groupBy(text_col).agg(F.min_by("_code", best).alias(out))
     return attach(df, cut_lineage(found), text_col)
 
 
@@ -79,28 +71,44 @@ def point_lookup(
     vertices_col: str = "vertices",
     cell: float = 1.0,
     out: str = "Country",
+    listed_cells: int = LISTED_CELLS,
 ) -> DataFrame:
     """Add the code of the region a point lies in; the smallest code if several; NULL if none.
 
-    `regions` has a code and an array of (x, y) corners per row. Regions are listed under the
-    grid cells that their boxes touch and points under their one cell, so candidates meet by an
-    equality join. Only distinct points are looked up.
+    `regions` has a code and an array of (x, y) corners per row. A region is listed, without its
+    outline, under the grid cells that its box touches: cells of size `cell` times the smallest power
+    of two at which there are at most `listed_cells`, so a region of any size and unit has a
+    bounded list. Points look in one cell of each size that occurs, and candidates meet by an
+    equality join; outlines come last. Only distinct points are looked up.
     """
 
-    def cells(field: str) -> Column:
-        values = F.transform(vertices_col, lambda v: v[field])
-        low, high = F.floor(F.array_min(values) / cell), F.floor(F.array_max(values) / cell)
-        return F.explode(F.sequence(low, high))
-
-    listed = (
-        regions.select(F.col(code_col).alias("_code"), F.col(vertices_col), cells("x").alias("_cx"))
-        .select("*", cells("y").alias("_cy"))
-        .withColumnRenamed(vertices_col, "_vertices")
-    )
+    def extent(field: str) -> tuple[Column, Column]:
+        values = F.transform(vertices_col, lambda v: v[field].cast("double"))
+        return F.array_min(values), F.array_max(values)
+
+    (x0, x1), (y0, y1) = extent("x"), extent("y")
+    side = max(1, int(listed_cells**0.5) - 1)
+    reach = F.greatest(x1 - x0, y1 - y0) / (cell * side)
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(reach, F.lit(1.0))))).cast("int")
+    shapes = regions.where(F.size(vertices_col) > 0).select(
+        F.col(code_col).alias("_code"), F.col(vertices_col).alias("_vertices"), level.alias("_level"),
+        *[v.alias(n) for n, v in zip(("_x0", "_x1", "_y0", "_y1"), (x0, x1, y0, y1), strict=True)],
+    )
+    shapes = cut_lineage(shapes.withColumn("_region", F.monotonically_increasing_id()))
+
+    def at(value: Column | str) -> Column:
+        return F.floor(F.col(value) / (F.pow(F.lit(2.0), F.col("_level")) * cell)).cast("long")
+
+    listed = shapes.select("_region", "_level", F.explode(F.sequence(at("_x0"), at("_x1"))).alias("_cx"), "_y0", "_y1")
+    listed = listed.select("_region", "_level", "_cx", F.explode(F.sequence(at("_y0"), at("_y1"))).alias("_cy"))
+    levels = shapes.agg(F.collect_set("_level").alias("l")).scalar()
     points = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
-    points = points.withColumns({"_cx": F.floor(F.col(x) / cell), "_cy": F.floor(F.col(y) / cell)})
+    points = points.withColumn("_level", F.explode(levels)).withColumns({"_cx": at(x), "_cy": at(y)})
+    near = attach(points, cut_lineage(listed), ["_level", "_cx", "_cy"], "inner")
+    near = near.select(x, y, "_region")
+    outlines = shapes.select("_region", "_code", "_vertices")
     found = (
-        points.join(listed, ["_cx", "_cy"])
+        attach(near, outlines, "_region", "inner")
         .where(_inside(F.col(x).cast("double"), F.col(y).cast("double"), F.col("_vertices")))
         .groupBy(x, y)
         .agg(F.min("_code").alias(out))

@@ -62,7 +62,7 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str) -> tuple[bool, str
 
 def as_if_large(spark: SparkSession) -> None:
     """Send all operators down the ways meant for large tables."""
-    from stayscope.operators import geo, joins, ordering
+    from stayscope.operators import joins, ordering
 
     small = {
         joins.attach: "max_broadcast",
@@ -70,7 +70,6 @@ def as_if_large(spark: SparkSession) -> None:
         ordering.row_numbers: "one_task_rows",
         ordering.quantiles_of: "one_task_rows",
         ordering.select_groups_within: "one_task_rows",
-        geo.suffix_lookup: "inline_names",
     }
     for fn, name in small.items():
         params = [p for p in inspect.signature(fn).parameters.values() if p.default is not p.empty]

@@ -27,20 +27,42 @@ def countries(spark):
     return spark.createDataFrame([(c, n, i) for i, (c, n) in enumerate(data)], "ISO string, name string, ord int")
 
 
-@pytest.mark.parametrize("inline", [0, 1000])
-def test_suffix_lookup(spark, countries, inline):
+def test_suffix_lookup(spark, countries):
     texts = ["1 Road Equatorial Guinea", "x samoa", "y AMERICAN SAMOA", "London", None, "Guinea", "Namibia ", "5 Namibia", ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, a string")
-    got = geo.suffix_lookup(df, "a", countries, "name", "ISO", "ord", inline_names=inline)
+    got = geo.suffix_lookup(df, "a", countries, "name", "ISO", "ord")
     assert [r.Country for r in got.orderBy("i").collect()] == ["GN", "WS", "AS", None, None, "GN", None, "NA", None]
-    got = geo.suffix_lookup(df, "a", countries, "name", "ISO", "ord", prefer="longest", inline_names=inline)
+    got = geo.suffix_lookup(df, "a", countries, "name", "ISO", "ord", prefer="longest")
     assert [r.Country for r in got.orderBy("i").collect()] == ["GQ", "WS", "AS", None, None, "GN", None, "NA", None]
 
 
-def test_inline_suffix_lookup_does_not_move_rows(spark, countries):
-    df = spark.range(10).select(F.lit("x Samoa").alias("a"))
-    plan = geo.suffix_lookup(df, "a", countries, "name", "ISO", "ord")._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Exchange" not in plan
+@pytest.mark.parametrize("more", [0, 3000])
+def test_suffix_lookup_does_not_depend_on_the_size_of_the_lookup(spark, more):
+    data = [("S", "STRASSE", 5), ("O", "Oslo", None), ("F", "slo", 3), ("Q", "Rome", 1), ("P", "Rome", 1), ("Z", "", 0)]
+    data += [(f"c{i}", f"name {i}!", 10) for i in range(more)]
+    lookup = spark.createDataFrame(data, "code string, name string, ord int")
+    df = spark.createDataFrame([("Lange Straße",), ("in oslo",), ("rome",), (None,)], "a string")
+    got = geo.suffix_lookup(df, "a", lookup, "name", "code", "ord")
+    assert {r.a: r.Country for r in got.collect()} == {"Lange Straße": "S", "in oslo": "F", "rome": "P", None: None}
+    got = geo.suffix_lookup(df, "a", lookup, "name", "code", "ord", prefer="longest")
+    assert {r.a: r.Country for r in got.collect()} == {"Lange Straße": "S", "in oslo": "O", "rome": "P", None: None}
+
+
+def test_point_lookup_of_one_world_wide_region_and_of_metres(spark):
+    square = lambda x0, y0, x1, y1: [(float(a), float(b)) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))]
+    shapes = [("world", square(-180, -90, 180, 90)), ("far", square(4e6, 1e6, 7e6, 9e6)), ("dot", square(5, 5, 5.001, 5.001))]
+    regions = spark.createDataFrame(shapes, "code string, vertices array<struct<x: double, y: double>>")
+    df = spark.createDataFrame([(1.0, 1.0), (5e6, 2e6), (5.0005, 5.0005), (300.0, 0.0)], "x double, y double")
+    got = {r.x: r.Country for r in geo.point_lookup(df, "x", "y", regions, "code").collect()}
+    assert got == {1.0: "world", 5e6: "far", 5.0005: "dot", 300.0: None}
+
+
+def test_a_node_on_both_sides_keeps_both(spark):
+    edges = spark.createDataFrame([("a", "h", 1), ("b", "h", 1), ("h", "z", 1)], "src string, dst string, weight int")
+    top = graph.top_nodes(edges, "dst")
+    assert [(r.node, r.degree) for r in top.collect()] == [("h", 3), ("z", 1)]
+    assert [r.node for r in graph.top_nodes(edges, "src").collect()] == ["h", "a", "b"]
+    assert "SortAggregate" not in top._jdf.queryExecution().executedPlan().toString()
 
 
 def test_point_lookup_against_brute_force(spark):
@@ -181,7 +203,7 @@ def test_graph(spark, rows):
     df = spark.createDataFrame(data, "u string, h string, w double, day int")
     edges = graph.collapse(graph.edges(df, "u", "h", "w", ["day"]), "day")
     assert rows(edges) == [("u", "Inn", 2.0), ("u", "h Hotel", 7.0), ("v", "h Hotel", 1.0)]
-    assert rows(graph.degrees(edges)) == [("dst", "Inn", 1), ("dst", "h Hotel", 2), ("src", "u", 2), ("src", "v", 1)]
+    assert rows(graph.degrees(edges)) == [("Inn", 0, 1, 1), ("h Hotel", 0, 1, 2), ("u", 1, 0, 2), ("v", 1, 0, 1)]
     assert [r.node for r in graph.top_nodes(edges, "dst", 1).collect()] == ["h Hotel"]
     named = graph.top_nodes(edges, where=F.contains("node", F.lit("Hotel")))
     assert [r.node for r in named.collect()] == ["h Hotel"]
