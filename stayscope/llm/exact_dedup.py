@@ -13,6 +13,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stayscope.llm import fuse
@@ -22,7 +23,7 @@ from stayscope.sources.checkpoints import cut_lineage
 SHARD_KEYS = 200_000
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def text_sha256(texts: pd.Series) -> pd.Series:
     """SHA-256 in hex of each text in UTF-8, A-Z lower-cased; NULL counts as empty."""
     return pd.Series([hashlib.sha256((t or "").encode().lower()).hexdigest() for t in texts], dtype=str)
