@@ -122,7 +122,11 @@ def parse(source: str, label: Callable[[str, str], int | None] | None = None) ->
         m = TAG.search(source, pos)
         end = m.start() if m else n
         if end > pos and not unseen:
-            runs.append((stack[-1][1], block, links > 0, source[pos:end]))
+            text = source[pos:end]
+            if not text.isspace():
+                runs.append((stack[-1][1], block, links > 0, text))
+            elif runs and runs[-1][1] == block:  # a gap between two inline elements
+                runs[-1] = (*runs[-1][:3], runs[-1][3] + " ")
         if not m:
             break
         pos = m.end()
@@ -166,7 +170,7 @@ def parse(source: str, label: Callable[[str, str], int | None] | None = None) ->
             stack.append((tag, at))
             unseen += tag in UNSEEN
             links += tag == "a"
-    return Page(nodes, [(a, b, c, html.unescape(t) if "&" in t else t) for a, b, c, t in runs if not t.isspace()])
+    return Page(nodes, [(a, b, c, html.unescape(t) if "&" in t else t) for a, b, c, t in runs])
 
 
 FEATURES = 28 + 2 * (len(KINDS) + 1) + 2 * len(TAG_KINDS)

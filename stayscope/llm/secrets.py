@@ -75,8 +75,8 @@ def strength(literal: str) -> float:
     return min(1.0, bits / 64 + 0.3)
 
 
-def bindings(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
-    """(name, spans of its literals, names it is made of) of every assignment."""
+def bindings(text: str) -> list[tuple[str, list[tuple[int, int]], list[tuple[int, int]]]]:
+    """(name, spans of its literals, spans of the names it is made of) of every assignment."""
     found, back = [], 0
     for m in BIND.finditer(text):
         at = max(text.rfind("\n", back, m.start()) + 1, back)
@@ -88,7 +88,7 @@ def bindings(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
         while part := PART.match(text, pos):
             group = part.lastindex
             if group == 4:
-                names.append(part[4])
+                names.append(part.span(4))
             else:
                 literals.append(part.span(group))
             pos = part.end()
@@ -105,11 +105,14 @@ def literal_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, in
     pairs = bindings(text)
     if not pairs:
         return []
-    sources, weights = defaultdict(list), {}
-    for name, _, names in pairs:
-        weights[name] = name_weight(name)
-        for other in names:
-            sources[name].append(other)
+    sources, weights = defaultdict(list), {name: name_weight(name) for name, _, _ in pairs}
+    for name, literals, names in pairs:
+        for a, b in names:
+            other = text[a:b]
+            if other in weights:
+                sources[name].append(other)
+            elif re.search(r"\d", other) and re.search(r"[A-Za-z]", other):  # nothing binds it: a bare literal
+                literals.append((a, b))
     reach = dict(weights)
     for name in sorted(weights, key=weights.get, reverse=True):  # a name takes the weight of what it flows into
         todo, seen = [name], {name}
