@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import string
+import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,8 +45,23 @@ def word_count(text: str | Column) -> Column:
     return F.when(text == "", 0).otherwise(pieces - outer[0] - outer[1]).cast("long")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, so that tasks in Python can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        folder = tempfile.mkdtemp(prefix="package-")  # the driver serves it from here to the end
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Hand Python at most so many rows at once: whole texts can be long."""
+    """Ready a session for tasks in Python: the package is there, and whole texts come few at a time."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
