@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from catalogue.base import Entries, raw_reviews, table
+from catalogue.base import REPAIRED, Entries, raw_reviews, table
 from catalogue.enrichment import nation_lookup
 from stayscope.operators import cluster as C
 from stayscope.operators import metrics as M
@@ -82,12 +83,12 @@ def class_quality(spark, sf_dir):
 
 @entries.add(
     f"""WITH {_PRED} SELECT round(sqrt(avg((price - estimate)^2)), 4) AS rmse,
-    round(1 - sum((price - estimate)^2) / (var_pop(price) * count(*)), 6) AS r2 FROM p"""
+    round(1 - sum((price - estimate)^2) / (var_pop(price) * count(*)), 6) AS r2, count(*) AS n, 0::BIGINT AS left_out FROM p"""
 )
 def regression_quality(spark, sf_dir):
     """Root mean squared error and explained variance."""
     out = M.regression_metrics(_predictions(spark, sf_dir), "price", "estimate")
-    return out.select(F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"))
+    return out.select(F.round("rmse", 4).alias("rmse"), F.round("r2", 6).alias("r2"), "n", "left_out")
 
 
 @entries.add(
@@ -124,6 +125,57 @@ def price_line(spark, sf_dir):
     return scored.agg(F.round(F.first("prediction"), 2).alias("prediction"), F.count(F.lit(1)).alias("n"))
 
 
+@entries.add(
+    """WITH s AS (SELECT covar_pop(l_extendedprice, l_quantity) AS y1, covar_pop(l_extendedprice, l_discount) AS y2,
+      var_pop(l_quantity) AS v1, var_pop(l_discount) AS v2, covar_pop(l_quantity, l_discount) AS c,
+      avg(l_extendedprice) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2 FROM lineitem),
+    w AS (SELECT *, (y1 * v2 - y2 * c) / (v1 * v2 - c * c) AS a, (y2 * v1 - y1 * c) / (v1 * v2 - c * c) AS b FROM s)
+    SELECT l_quantity, l_discount, round(any_value(my + a * (l_quantity - m1) + b * (l_discount - m2)), 1) AS prediction, count(*) AS n
+    FROM lineitem, w GROUP BY 1, 2"""
+)
+def price_plane(spark, sf_dir):
+    """Predictions of a linear regression on two features."""
+    rows = assemble(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"])
+    model = LinearRegression(featuresCol="features", labelCol="l_extendedprice").fit(rows)
+    scored = model.transform(rows).groupBy("l_quantity", "l_discount")
+    return scored.agg(F.round(F.first("prediction"), 1).alias("prediction"), F.count(F.lit(1)).alias("n"))
+
+
+def _placed_customers(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(
+        (F.col("c_acctbal") / 1000).alias("x"), (F.col("c_custkey") % 7).cast("double").alias("y"),
+        (F.col("c_nationkey") % 3).cast("int").alias("cluster"),
+    )
+    return assemble(customers, ["x", "y"])
+
+
+@entries.add(
+    """WITH p AS (SELECT c_acctbal / 1000 AS x, (c_custkey % 7)::DOUBLE AS y, c_nationkey % 3 AS c FROM customer),
+    s AS (SELECT c, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x + y * y) AS sq FROM p GROUP BY 1),
+    d AS (SELECT x, y, p.c, s.c AS other, n, x * x + y * y + sq / n - 2 * (x * sx + y * sy) / n AS d FROM p, s),
+    e AS (SELECT x, y, c, min(d) FILTER (other <> c) AS b, any_value(d * n / (n - 1)) FILTER (other = c) AS a
+      FROM d GROUP BY x, y, c)
+    SELECT round(sum(k * CASE WHEN a < b THEN 1 - a / b ELSE b / a - 1 END) / sum(k), 6) AS silhouette
+    FROM e JOIN (SELECT x, y, c, count(*) AS k FROM p GROUP BY 1, 2, 3) USING (x, y, c)"""
+)
+def silhouette_of_groups(spark, sf_dir):
+    """Mean silhouette of a clustering that is given."""
+    value = C.silhouette(_placed_customers(spark, sf_dir))
+    return spark.createDataFrame([(round(value, 6),)], "silhouette double")
+
+
+@entries.add(
+    """WITH p AS (SELECT c_custkey, c_acctbal / 1000 AS x, (c_custkey % 7)::DOUBLE AS y FROM customer),
+    t AS (SELECT 0.5::DOUBLE * atan2(2 * covar_pop(x, y), var_pop(x) - var_pop(y)) AS t FROM p)
+    SELECT round(sum(abs(x * cos(t) + y * sin(t))), 3) AS pc1, round(sum(abs(y * cos(t) - x * sin(t))), 3) AS pc2, count(*) AS n FROM p, t"""
+)
+def sizes_on_two_components(spark, sf_dir):
+    """Total size of all points on the principal components of two columns, whose signs are free."""
+    placed = project_2d(_placed_customers(spark, sf_dir))
+    sizes = [F.round(F.sum(F.abs(F.col(c))), 3).alias(c) for c in ("pc1", "pc2")]
+    return placed.agg(*sizes, F.count(F.lit(1)).alias("n"))
+
+
 def _hotels(spark, sf_dir):
     """Hotel features joined to hotel rows, with stars.
 
@@ -136,14 +188,14 @@ def _hotels(spark, sf_dir):
 
 
 def _star_rows(spark, sf_dir):
-    rows = assemble(_hotels(spark, sf_dir), R.STAR_FEATURES, invalid="skip")
+    rows = assemble(_hotels(spark, sf_dir), R.STAR_FEATURES)
     return rows.withColumn("label", F.col("star_rating_adj").cast("double"))
 
 
 @entries.add()
 def hotel_score_regressors(spark, sf_dir):
     """Three regressors of the mean score, compared on held-out hotels."""
-    rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES, invalid="skip")
+    rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES)
     rows = rows.withColumn("label", F.col("avg_Average_Score"))
     train, test = hash_split(rows, ["Hotel_Name", "Hotel_Address"], [0.8, 0.2])
     return L.compare_regressors(train, test, L.regressors())
@@ -175,7 +227,7 @@ def misjudged_hotels(spark, sf_dir):
 @entries.add()
 def actual_and_predicted_scores(spark, sf_dir):
     """Mean score and its prediction for held-out hotels."""
-    rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES, invalid="skip")
+    rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES)
     rows = rows.withColumn("label", F.col("avg_Average_Score"))
     train, test = hash_split(rows, ["Hotel_Name", "Hotel_Address"], [0.8, 0.2])
     return L.actual_vs_predicted(L.regressors()["Linear Regression"].fit(train).transform(test))
@@ -227,13 +279,37 @@ def streamed_alerts(spark, sf_dir):
     return streamed.join(batch, "label", "full")
 
 
+@entries.add(
+    f"""WITH {REPAIRED}, t AS (SELECT 1 AS label FROM repaired WHERE lower(Positive_Review) <> 'no positive'
+      UNION ALL SELECT 0 FROM repaired WHERE lower(Negative_Review) <> 'no negative')
+    SELECT label, count(*) AS streamed, count(*) AS with_score, 0::BIGINT AS unlike_batch FROM t GROUP BY 1"""
+)
+def streamed_scores(spark, sf_dir):
+    """Texts a stream scored with a saved and loaded model, per label; rows unlike those scored as a table."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    rows = save_checkpoint(_remarks(spark, sf_dir), folder, "remarks")
+    L.fit_all(rows, {"m": L.sentiment_model((1,), features=1000)})["m"].write().save(f"{folder}/model")
+    model = PipelineModel.load(f"{folder}/model")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/checkpoint-remarks")
+    score_stream(model, stream, -1.0, f"{folder}/scores", f"{folder}/progress").awaitTermination()
+    side = F.lit(1).alias("s"), F.lit(0).alias("b")
+    cols = ["label", "text", "prediction", F.round("p_negative", 9).alias("p")]
+    streamed = spark.read.parquet(f"{folder}/scores").select(*cols, *side)
+    batch = L.score_texts(model, rows).select(*cols, F.lit(0).alias("s"), F.lit(1).alias("b"))
+    same = streamed.unionByName(batch).groupBy("label", "text", "prediction", "p").agg(F.sum("s").alias("s"), F.sum("b").alias("b"))
+    return same.groupBy("label").agg(
+        F.sum("s").alias("streamed"), F.sum(F.when(F.col("prediction").isNotNull(), F.col("s"))).alias("with_score"),
+        F.sum(F.abs(F.col("s") - F.col("b"))).alias("unlike_batch"),
+    )
+
+
 @entries.add()
 def hotel_segments(spark, sf_dir):
     """Hotels per segment and star rating, by both clusterings."""
     hotels = _hotels(spark, sf_dir)
     parts = []
     for method in ("kmeans", "bisecting"):
-        rows = C.segment(hotels, R.SEGMENT_FEATURES, 4, method, nulls="skip")
+        rows = C.segment(hotels, R.SEGMENT_FEATURES, 4, method)
         counts = group_counts(rows, ["cluster", "star_rating"])
         parts.append(counts.select(F.lit(method).alias("method"), "cluster", "star_rating", "n"))
     return parts[0].unionByName(parts[1])
@@ -242,14 +318,14 @@ def hotel_segments(spark, sf_dir):
 @entries.add()
 def hotel_segment_means(spark, sf_dir):
     """Scaled feature means of the segments."""
-    rows = C.segment(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, 4, "bisecting", nulls="skip")
+    rows = C.segment(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, 4, "bisecting")
     return C.cluster_profile(rows, "cluster", R.SEGMENT_FEATURES, normalise=True)
 
 
 @entries.add()
 def segment_elbow(spark, sf_dir):
     """Within-segment distances for two to eight segments."""
-    return C.elbow(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, nulls="skip")
+    return C.elbow(_hotels(spark, sf_dir), R.SEGMENT_FEATURES)
 
 
 @entries.add()
@@ -257,7 +333,7 @@ def segment_silhouettes(spark, sf_dir):
     """Mean silhouette of both clusterings."""
     hotels = _hotels(spark, sf_dir)
     scores = [
-        (m, C.silhouette(C.segment(hotels, R.SEGMENT_FEATURES, 4, m, nulls="skip")))
+        (m, C.silhouette(C.segment(hotels, R.SEGMENT_FEATURES, 4, m)))
         for m in ("kmeans", "bisecting")
     ]
     return spark.createDataFrame(scores, "method string, silhouette double")
@@ -266,7 +342,7 @@ def segment_silhouettes(spark, sf_dir):
 @entries.add()
 def hotels_in_two_dimensions(spark, sf_dir):
     """Hotels on their first two principal components, with their segment."""
-    rows = C.segment(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, 4, nulls="skip")
+    rows = C.segment(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, 4)
     return project_2d(rows).select("Hotel_Name", "cluster", "pc1", "pc2")
 
 
@@ -276,3 +352,15 @@ def review_segments(spark, sf_dir):
     df = R.tokenised(R.typed(R.repair(raw_reviews(spark, sf_dir))))
     rows = C.segment(cut_lineage(df.select(*R.REVIEW_SEGMENT_FEATURES)), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
     return group_counts(rows, ["cluster"])
+
+
+@entries.add(f"WITH {REPAIRED} SELECT count(*) AS n, 4::BIGINT AS clusters, count(*) FILTER (Reviewer_Score IS NULL) AS without_score FROM repaired")
+def reviews_in_segments(spark, sf_dir):
+    """Segmented reviews in all, and the number of segments."""
+    df = R.tokenised(R.typed(R.repair(raw_reviews(spark, sf_dir))))
+    used = list(dict.fromkeys([*R.REVIEW_SEGMENT_FEATURES, "Reviewer_Score"]))
+    rows = C.segment(cut_lineage(df.select(*used)), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
+    return rows.agg(
+        F.count("cluster").alias("n"), F.countDistinct("cluster").alias("clusters"),
+        F.count_if(F.col("Reviewer_Score").isNull()).alias("without_score"),
+    )

@@ -117,21 +117,21 @@ def typed_reviews(spark, sf_dir):
 def doubtful_places(spark, sf_dir):
     """Distinct addresses that are short or have no coordinates after typing."""
     df = R.typed(R.repair(raw_reviews(spark, sf_dir)))
-    missing = Q.non_matching(df, ["lng", "lat"], "[0-9]", ["Hotel_Address"], missing=True)
-    return missing.union(Q.short_values(df, "Hotel_Address", 10).select("Hotel_Address")).distinct()
+    missing = Q.lacks_match(["lng", "lat"], "[0-9]", missing=True)
+    return df.where(missing | Q.is_short("Hotel_Address", 10)).select("Hotel_Address").distinct()
 
 
 @entries.add(
     f"""WITH {RAW} SELECT tag, count(*) AS n, CAST(sum(days) AS BIGINT) AS days FROM (
       SELECT unnest(list_transform(string_split(replace(regexp_replace(Tags, '^\\[|\\]$', '', 'g'), '''', ''), ', '),
         lambda t: trim(t))) AS tag,
-      CAST(regexp_extract(days_since_review, '^(\\d+)', 1) AS INTEGER) AS days
-      FROM raw WHERE length(Tags) > 2 AND days_since_review NOT LIKE '%weeks') GROUP BY tag"""
+      CAST(nullif(regexp_extract(days_since_review, '^(\\d+) day', 1), '') AS INTEGER) AS days
+      FROM raw WHERE length(Tags) > 2) GROUP BY tag"""
 )
 def tag_totals(spark, sf_dir):
-    """Reviews and days per tag."""
-    df = raw_reviews(spark, sf_dir).where(~F.col("days_since_review").endswith("weeks"))
-    tags = df.select(F.explode(tag_list("Tags")).alias("tag"), parse_days("days_since_review", strict=True).alias("days"))
+    """Reviews and days per tag; ages that are not in days count as missing."""
+    df = raw_reviews(spark, sf_dir)
+    tags = df.select(F.explode(tag_list("Tags")).alias("tag"), parse_days("days_since_review").alias("days"))
     return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.sum("days").alias("days"))
 
 

@@ -27,18 +27,14 @@ def parse_days(c: Column | str, strict: bool = False) -> Column:
     return F.when(c.isNull() | days.isNotNull(), days).otherwise(problem.cast("int"))
 
 
-def _bare_tags(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, r"^\[|\]$", ""), "'", "")
-
-
-def tag_count(c: Column | str) -> Column:
-    """Number of entries of a printed list such as ``"[' a ', ' b ']"``; NULL for NULL."""
+def tag_list(c: Column | str) -> Column:
+    """Entries of a printed list such as ``"[' a ', ' b ']"``, trimmed; empty without any, NULL for NULL."""
     c = _col(c)
-    return F.when(F.length(c) <= 2, F.lit(0)).otherwise(F.size(F.split(_bare_tags(c), ", ")))
+    entries = F.regexp_extract_all(c, F.lit(r"'([^']*)'"), F.lit(1))
+    return F.transform(entries, lambda tag: F.trim(tag))
 
 
-def tag_list(c: Column | str) -> Column:
-    """The entries that `tag_count` counts, trimmed."""
-    c = _col(c)
-    tags = F.transform(F.split(_bare_tags(c), ", "), lambda tag: F.trim(tag))
-    return F.when(F.length(c) <= 2, F.array().cast("array<string>")).otherwise(tags)
+def tag_count(c: Column | str) -> Column:
+    """Number of entries of a printed list; NULL for NULL."""
+    tags = tag_list(c)
+    return F.when(tags.isNotNull(), F.size(tags))

@@ -19,8 +19,8 @@ def text_or_empty(c: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Blank-separated words; 0 for NULL, 1 for the empty string."""
-    c = _col(c)
-    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(F.split(F.trim(c), r"\s+")))
+    gaps = F.regexp_count(F.trim(_col(c)), F.lit(r"\s+"))
+    return F.coalesce(gaps + 1, F.lit(0))
 
 
 def normalise_text(c: Column | str) -> Column:

@@ -90,12 +90,20 @@ def class_metrics(
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """One row: root mean squared error and share of explained variance."""
+    """One row: root mean squared error, share of explained variance, rows used and rows left out.
+
+    Left out are rows without label or prediction, such as pairs a recommender has no factors for.
+    """
     actual, guess = F.col(label).cast("double"), F.col(pred).cast("double")
+    there = guess.isNotNull() & ~F.isnan(guess)
+    actual = F.when(there, actual)
     error = (actual - guess) * (actual - guess)
     spread = F.var_pop(actual) * F.count(actual)
-    return df.where(actual.isNotNull() & guess.isNotNull()).agg(
-        F.sqrt(F.avg(error)).alias("rmse"), (1 - F.try_divide(F.sum(error), spread)).alias("r2")
+    return df.agg(
+        F.sqrt(F.avg(error)).alias("rmse"),
+        (1 - F.try_divide(F.sum(error), spread)).alias("r2"),
+        F.count(actual).alias("n"),
+        (F.count(F.lit(1)) - F.count(actual)).alias("left_out"),
     )
 
 

@@ -132,13 +132,13 @@ def sentiment_model(
 
 
 def score_texts(model: Model, df: DataFrame, text: str = "text") -> DataFrame:
-    """Add to each text the predicted label and the probability of label 0 and of label 1."""
-    given = df.where(F.col(text).isNotNull())
-    given = given if text == "text" else given.withColumn("text", F.col(text))
+    """Add to each text the predicted label and the probability of label 0 and of label 1; NULL for NULL."""
+    given = df.select(F.struct(*df.columns).alias("_row"), F.coalesce(text, F.lit("")).alias("text"))
     chance = vector_to_array("probability")
+    there = F.col("_row")[text].isNotNull()
     return model.transform(given).select(
-        *df.columns,
-        "prediction",
-        F.get(chance, F.lit(0)).alias("p_negative"),
-        F.get(chance, F.lit(1)).alias("p_positive"),
+        *[F.col("_row")[c].alias(c) for c in df.columns],
+        F.when(there, F.col("prediction")).alias("prediction"),
+        F.when(there, F.get(chance, F.lit(0))).alias("p_negative"),
+        F.when(there, F.get(chance, F.lit(1))).alias("p_positive"),
     )

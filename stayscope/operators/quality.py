@@ -86,21 +86,29 @@ def disguised_null_counts(
     return long.where("not_null_nulls > 0")
 
 
+def is_short(col: str, min_len: int) -> Column:
+    """Whether a text is shorter than `min_len` characters; false for NULL."""
+    return F.coalesce(F.length(col) < min_len, F.lit(False))
+
+
 def short_values(df: DataFrame, col: str, min_len: int) -> DataFrame:
     """Rows whose text is shorter than `min_len` characters."""
-    return df.where(F.length(col) < min_len)
+    return df.where(is_short(col, min_len))
+
+
+def lacks_match(cols: Sequence[str], pattern: str, missing: bool = False) -> Column:
+    """Whether one of the columns lacks `pattern`, or with `missing` is NULL."""
+    hit = F.lit(False)
+    for c in cols:
+        hit = hit | F.coalesce(~F.col(c).cast("string").rlike(pattern), F.lit(missing))
+    return hit
 
 
 def non_matching(
     df: DataFrame, cols: Sequence[str], pattern: str, show: Sequence[str], missing: bool = False
 ) -> DataFrame:
     """Distinct `show` columns of rows in which a column lacks `pattern`, or with `missing` is NULL."""
-    hit = F.lit(False)
-    for c in cols:
-        hit = hit | ~F.col(c).cast("string").rlike(pattern)
-        if missing:
-            hit = hit | F.col(c).isNull()
-    return df.where(hit).select(*show).distinct()
+    return df.where(lacks_match(cols, pattern, missing)).select(*show).distinct()
 
 
 def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -27,18 +27,20 @@ def read_table(
     sep: str = ",",
     compressed_parts: int | None = None,
     keep_corrupt: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan delimited text with a header and a declared schema, without an inference pass.
 
     Compressed text cannot be split, so `compressed_parts` spreads the rows right after the
     scan. `keep_corrupt` keeps the text of rows that do not fit the schema in a last column.
+    With `multi_line` quoted texts may hold line breaks; each file is then read by one task.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     ordered = _header_order(spark, path, schema, sep)
     columns = schema.names
     reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-    reader = reader.option("escape", '"').option("multiLine", False)
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
     if keep_corrupt:
         ordered = T.StructType([*ordered.fields, T.StructField(CORRUPT, T.StringType())])
         columns = [*columns, CORRUPT]

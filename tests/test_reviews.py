@@ -195,7 +195,8 @@ def test_sentiment_and_stream(spark, raw, tmp_path):
     model.write().overwrite().save(str(tmp_path / "model"))
     model = PipelineModel.load(str(tmp_path / "model"))
     new = spark.createDataFrame([("rude staff and dirty bathrooms",), ("great clean rooms",), (None,)], "remark string")
-    assert models.score_texts(model, new, "remark").count() == 2
+    scored = {r.remark: r.prediction for r in models.score_texts(model, new, "remark").collect()}
+    assert len(scored) == 3 and scored[None] is None and scored["great clean rooms"] is not None
     source = save_checkpoint(texts, str(tmp_path), "texts")
     stream = spark.readStream.schema(source.schema).parquet(str(tmp_path / "checkpoint-texts"))
     for _ in range(2):  # the second run finds nothing new
