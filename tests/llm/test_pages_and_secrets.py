@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,22 +67,28 @@ def test_blocks_and_white_space():
     assert pages.joined(found, [True] * len(found.nodes)) == "a b c d e <f gh i"
 
 
-def test_no_child_contradicts_its_ancestors(extractor):
-    pick = random.Random(5)
-    for _ in range(20):
-        found = pages.parse(page(pick)[0])
-        x = pages.features(found)
-        kept = pages.decode(found, extractor.whole.probability(x), extractor.none.probability(x))
-        own = {r[0] for r in found.runs}
-        for i in own:
-            inside = [j for j in own if j > i and _under(found, j, i)]
-            assert len({bool(kept[j]) for j in inside}) <= 2 and kept[i] in (True, False)
-
-
-def _under(found, node, top):
-    while node > top:
-        node = found.nodes[node].parent
-    return node == top
+def test_decoding_is_the_best_consistent_choice():
+    pick = np.random.default_rng(5)
+    for _ in range(60):
+        n = int(pick.integers(1, 7))
+        parents = [-1] + [int(pick.integers(0, i)) for i in range(1, n)]
+        nodes = [pages.Node("div", p, 0, 0) for p in parents]
+        found = pages.Page(nodes, [(i, i, False, "x") for i in range(n)])
+        keep = pick.random(n) * 0.9
+        drop = (1 - keep) * pick.random(n)
+        both = np.clip(1 - keep - drop, 0.02, 1)
+        logs = np.log(np.clip(np.column_stack([keep, drop, both]), 1e-4, 1))
+        best, want = -np.inf, None
+        for states in itertools.product(range(3), repeat=n):
+            leaf = [i not in parents for i in range(n)]
+            if any(states[i] == 2 and leaf[i] for i in range(n)):
+                continue
+            if any(states[p] < 2 and states[i] != states[p] for i, p in enumerate(parents) if p >= 0):
+                continue
+            total = sum(logs[i, s] for i, s in enumerate(states))
+            if total > best:
+                best, want = total, [s == 0 or (s == 2 and logs[i, 0] > logs[i, 1]) for i, s in enumerate(states)]
+        assert pages.decode(found, keep, drop).tolist() == want
 
 
 def test_pages_query_shape(spark):
