@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from stayscope.llm.common import join_groups, small_batches, table
+from stayscope.llm.common import first_by_hash, join_groups, small_batches, table
 from stayscope.sources.checkpoints import cut_lineage
 
 SAMPLE_ROWS = 20_000
@@ -181,7 +181,7 @@ def search(
     rows = cut_lineage(usable(vectors))
     facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("sq")).first()
     total, width, norm = facts["n"], facts["d"] or 1, float(np.sqrt(facts["sq"] or 1.0))
-    sample = rows.orderBy(F.xxhash64("vec_id", "v")).limit(sample_rows).select("v").toPandas()["v"]
+    sample = first_by_hash(rows, ["vec_id", "v"], sample_rows).select("v").toPandas()["v"]
     lists = min(MOST_LISTS, max(1, min(FEW_LISTS, total // FIT_ROWS), total // list_rows))
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

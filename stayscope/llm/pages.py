@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.llm import boosting
-from stayscope.llm.common import map_texts, table
+from stayscope.llm.common import first_by_hash, map_texts, table
 
 SAMPLE_PAGES = 250
 LAYOUTS = 3
@@ -462,10 +462,10 @@ def fit(sources: list[str], layouts: int = LAYOUTS, seed: int = 3) -> Extractor:
 def extract(pages: DataFrame, keep: list[str], sample: int = SAMPLE_PAGES) -> DataFrame:
     """Columns `keep` of every row with text and n_chars (code points); NULL and empty pages give empty texts.
 
-    The fit looks at the `sample` first pages by a hash of the html; every page is read whole.
+    The fit looks at the `sample` first pages by a hash of their columns; every page is read whole.
     """
-    known = pages.where(F.col("html").isNotNull()).select("html", F.xxhash64("html").alias("_h"))
-    known = known.orderBy("_h", F.length("html")).limit(sample).toPandas()["html"].tolist()
+    known = pages.where(F.col("html").isNotNull()).select(*dict.fromkeys([*keep, "html"]))
+    known = first_by_hash(known, known.columns, sample).select("html").toPandas()["html"].tolist()
     shared = pages.sparkSession.sparkContext.broadcast(fit(known))
 
     def read(sources: list[str]) -> list:

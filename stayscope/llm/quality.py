@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayscope.llm.common import map_texts, small_batches, table
+from stayscope.llm.common import first_by_hash, map_texts, small_batches, table
 from stayscope.sources.checkpoints import cut_lineage
 
 ROWS, WIDTH, NONZERO, REACH = 1 << 14, 32, 4, 2
@@ -224,7 +224,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """
     known = labels.where(learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
-    known = cut_lineage(known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows))
+    known = cut_lineage(known.withColumn("_seed", F.lit(seed)))
+    known = cut_lineage(first_by_hash(known, ["_seed", "doc_id"], rows).drop("_seed"))
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
 
