@@ -3,14 +3,18 @@
 A document is its set of hashed word n-grams; equal sets are one node. Two sets as similar as asked
 share at least one of their first n-grams in any fixed order, so nodes meet in blocks, one per
 such n-gram; n-grams that many documents share come last in the order. In every block the nodes are
-first compared with one of them, and what links is merged. Whatever is still apart is then joined by a
-signature tree: its nodes hold OR-combined bitmaps and size ranges, and pairs of tree nodes are
+first compared with one of them, and what links is merged. Whatever is still apart is then joined by
+signature trees: their nodes hold OR-combined bitmaps and size ranges, and pairs of tree nodes are
 followed down only where the largest overlap they allow is enough and their components differ. The
-pairs left at the leaves are compared exactly. No link between different sets is lost.
+pairs left at the leaves are compared exactly: in some rounds the most alike of every node, so
+that groups of near copies merge without all their pairs, and at last every pair that is left. No
+link between different sets is lost.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,6 +37,8 @@ SLOT_BITS = 18
 OFTEN = 200
 SEEN_NODES = 500_000
 LEAF, FANOUT = 8, 8
+PURE = 16
+ROUNDS, BEST, FEW_BLOCKS, WORTHWHILE = 4, 3, 4, 10
 CHUNK_NODES = 20_000
 STAR_NODES = 256
 LIST_ROWS = 20_000
@@ -77,8 +83,8 @@ def alike(a: np.ndarray, b: np.ndarray, share: tuple[int, int] = SHARE) -> bool:
 
 
 def bitmap(s: np.ndarray) -> tuple[int, int]:
-    """A set as bits, and their number: a power of two not below its size (64 at least)."""
-    width = max(64, 1 << (len(s) - 1).bit_length())
+    """A set as bits, and their number: a power of two not below twice its size (64 at least)."""
+    width = max(64, 2 << (len(s) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = 1
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little"), width
@@ -123,13 +129,30 @@ def tree(sizes: list[int], bits: list[int], labels: list[int]) -> TreeNode:
     return level[0]
 
 
-def tree_pairs(nodes: list[tuple[int, int, int, bytes]], share: tuple[int, int] = SHARE) -> list[tuple[int, int]]:
-    """Pairs of a block's nodes (node, size, label, bitmap bytes) that may be alike and are not yet in one component."""
+def tree_pairs(
+    nodes: list[tuple[int, int, int, bytes]], share: tuple[int, int] = SHARE, best: int | None = None
+) -> list[tuple[int, int]]:
+    """Pairs of a block's nodes (node, size, label, bitmap bytes) that may be alike and are not yet in one component.
+
+    With `best`, only that many pairs of every node, those with most common bits. Nodes of a component
+    with many of the block's nodes stand together, so that its tree nodes are of one component.
+    """
     p, q = share
     by_width: dict[int, list] = {}
+    members = Counter(n[2] for n in nodes)
     for node, size, label, packed in nodes:
-        by_width.setdefault(len(packed) * 8, []).append((size, int.from_bytes(packed, "little"), node, label))
+        home = label if members[label] >= PURE else 0
+        by_width.setdefault(len(packed) * 8, []).append((home, size, int.from_bytes(packed, "little"), node, label))
     found: list[tuple[int, int]] = []
+    tops: dict[int, list[tuple[float, int, int]]] = {}
+
+    def offer(a: int, b: int, common: float) -> None:
+        for node in (a, b):
+            heap = tops.setdefault(node, [])
+            if len(heap) < best:
+                heapq.heappush(heap, (common, a, b))
+            elif common > heap[0][0]:
+                heapq.heapreplace(heap, (common, a, b))
 
     def may(least_a, most_a, few_a, bits_a, least_b, most_b, few_b, bits_b) -> bool:
         if p * least_a > q * most_b or p * least_b > q * most_a:
@@ -139,9 +162,9 @@ def tree_pairs(nodes: list[tuple[int, int, int, bytes]], share: tuple[int, int]
         return most * (p + q) >= p * (least_a + least_b)
 
     for width in sorted(by_width):
-        group = sorted(by_width[width])
-        wide = by_width.get(2 * width, [])
-        other = sorted((size, folded(b, 2 * width, width), node, label) for size, b, node, label in wide)
+        group = [g[1:] for g in sorted(by_width[width])]
+        wide = sorted(by_width.get(2 * width, []))
+        other = [(size, folded(b, 2 * width, width), node, label) for _, size, b, node, label in wide]
         for right, same in ((group, True), (other, False)):
             if not right or len(group) + len(right) * (not same) < 2:
                 continue
@@ -161,14 +184,17 @@ def tree_pairs(nodes: list[tuple[int, int, int, bytes]], share: tuple[int, int]
                         for j in range(max(y.lo, i + 1) if same else y.lo, y.hi):
                             sj, bj, nj, lj = right[j]
                             if li != lj and may(si, si, few, bi, sj, sj, bj.bit_count(), bj):
-                                found.append((ni, nj))
+                                if best:
+                                    offer(ni, nj, (bi & bj).bit_count() / max(few, bj.bit_count()))
+                                else:
+                                    found.append((ni, nj))
                 elif x is y and same:
                     todo += list(combinations(x.children, 2)) + [(c, c) for c in x.children]
                 elif y.children is None or (x.children is not None and x.hi - x.lo >= y.hi - y.lo):
                     todo += [(c, y) for c in x.children]
                 else:
                     todo += [(x, c) for c in y.children]
-    return found
+    return found + sorted({(a, b) for heap in tops.values() for _, a, b in heap})
 
 
 def described(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, np.ndarray]:
@@ -337,8 +363,13 @@ def grown(links: DataFrame) -> DataFrame:
     return cut_lineage(connected(links))
 
 
-def apart(blocks: DataFrame, labels: DataFrame, nodes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """hub and node of pairs inside blocks that signature trees can't rule out, of different components."""
+def apart(
+    blocks: DataFrame, labels: DataFrame, nodes: DataFrame, share: tuple[int, int], best: int | None = None
+) -> DataFrame:
+    """hub and node of pairs inside blocks that signature trees can't rule out, of different components.
+
+    With `best`, only so many for each node of a block (see `tree_pairs`).
+    """
     known = blocks.join(labels, "node", "left").select("block", "node", F.coalesce("label", "node").alias("label"))
     open_ = known.groupBy("block").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count(F.lit(1)).alias("_n"))
     open_ = open_.where(F.col("_a") != F.col("_b")).select("block", F.ceil(F.col("_n") / CHUNK_NODES).cast("int").alias("chunks"))
@@ -349,15 +380,18 @@ def apart(blocks: DataFrame, labels: DataFrame, nodes: DataFrame, share: tuple[i
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, key = [], None
+        group, key, told = [], None, set()
 
         def done() -> pa.RecordBatch:
             _, i, j = key
             place = {g[0]: g[4] for g in group}
-            pairs = tree_pairs([g[:4] for g in group], share)
-            pairs = [p for p in pairs if {place[p[0]], place[p[1]]} == {i, j}]
+            pairs = tree_pairs([g[:4] for g in group], share, best)
+            pairs = {(min(p), max(p)) for p in pairs if {place[p[0]], place[p[1]]} == {i, j}} - told
+            if len(told) + len(pairs) > SEEN_NODES:
+                told.clear()
+            told.update(pairs)
             return pa.RecordBatch.from_arrays(
-                [pa.array([min(p) for p in pairs], pa.int64()), pa.array([max(p) for p in pairs], pa.int64())], ["hub", "node"]
+                [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["hub", "node"]
             )
 
         for batch in batches:
@@ -389,10 +423,20 @@ def link_labels(docs: DataFrame, rows: DataFrame, order: np.ndarray, words: int,
     stars = stars.join(size, "node").join(size.select(F.col("node").alias("hub"), F.col("n").alias("m")), "hub")
     fits = (F.col("n") * share[1] >= F.col("m") * share[0]) & (F.col("m") * share[1] >= F.col("n") * share[0])
     first = cut_lineage(compared(docs, nodes, stars.where(fits).select("hub", "node"), words, share))
-    labels = grown(first)
+    links, labels = first, grown(first)
+    place = F.row_number().over(Window.partitionBy("node").orderBy("block"))
+    few = cut_lineage(blocks.withColumn("_n", place).where(F.col("_n") <= FEW_BLOCKS).drop("_n"))
+    for _ in range(ROUNDS):  # what is most alike merges first, which leaves few pairs to the last step
+        near = cut_lineage(apart(few, labels, nodes, share, BEST))
+        more = cut_lineage(compared(docs, nodes, near, words, share))
+        found = more.count()
+        if found:
+            links = links.unionByName(more)
+            labels = grown(links)
+        if found * WORTHWHILE < near.count():
+            break
     rest = cut_lineage(apart(blocks, labels, nodes, share))
-    second = compared(docs, nodes, rest, words, share)
-    return grown(first.unionByName(second))
+    return grown(links.unionByName(compared(docs, nodes, rest, words, share)))
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
