@@ -11,6 +11,7 @@ from stayscope.operators.features import attach_dimension, entity_features
 from stayscope.operators.geo import map_markers, point_lookup, suffix_lookup
 from stayscope.operators.sampling import bernoulli_sample, hash_sample, hash_split
 from stayscope.plans import reviews as R
+from stayscope.sources import cut_lineage
 
 entries = Entries()
 
@@ -117,7 +118,8 @@ def hotel_markers(spark, sf_dir):
 )
 def nationality_index(spark, sf_dir):
     """Frequency index of nationalities, a missing one last."""
-    df = index_category(typed_reviews(spark, sf_dir), "Reviewer_Nationality", "code")
+    reviews = typed_reviews(spark, sf_dir).select("Reviewer_Nationality")
+    df = index_category(cut_lineage(reviews), "Reviewer_Nationality", "code")
     return df.groupBy("Reviewer_Nationality", "code").agg(F.count(F.lit(1)).alias("n"))
 
 

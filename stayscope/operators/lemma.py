@@ -92,9 +92,11 @@ def lemmatize(
 ) -> DataFrame:
     """Add the noun lemmas of a token array; an empty or missing array gives an empty one.
 
-    `id_col` identifies rows. Only the tokens that change travel: they are looked up by an
-    equality join, gathered per row as (token, lemma) pairs and applied in place.
+    `id_col` identifies rows. The rows are written once, as three passes read their tokens. Only the
+    tokens that change travel: they are looked up by an equality join, gathered per row as (token,
+    lemma) pairs and applied in place.
     """
+    df = cut_lineage(df)
     tokens = df.select(F.explode(tokens_col).alias("token")).distinct()
     lemmas = cut_lineage(lemma_table(tokens, lexicon, exceptions))
     used = df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("token"))
