@@ -368,25 +368,31 @@ def apart(
 ) -> DataFrame:
     """hub and node of pairs inside blocks that signature trees can't rule out, of different components.
 
-    With `best`, only so many for each node of a block (see `tree_pairs`).
+    With `best`, only so many for each node of a block (see `tree_pairs`). Without, a pair that has one of
+    the first few blocks of both its nodes in common is reported by the first of these alone.
     """
+    first = blocks.withColumn("_n", F.row_number().over(Window.partitionBy("node").orderBy("block")))
+    first = first.where(F.col("_n") <= FEW_BLOCKS).groupBy("node").agg(F.array_sort(F.collect_list("block")).alias("first"))
     known = blocks.join(labels, "node", "left").select("block", "node", F.coalesce("label", "node").alias("label"))
     open_ = known.groupBy("block").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count(F.lit(1)).alias("_n"))
     open_ = open_.where(F.col("_a") != F.col("_b")).select("block", F.ceil(F.col("_n") / CHUNK_NODES).cast("int").alias("chunks"))
-    rows = known.join(open_, "block").join(nodes.select("node", "n", "bits"), "node")
+    told = nodes.select("node", "n", "bits").join(first, "node")
+    rows = known.join(open_, "block").join(told, "node")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    rows = rows.select("block", "node", "label", "n", "bits", own.alias("own"), other)
+    rows = rows.select("block", "node", "label", "n", "bits", "first", own.alias("own"), other)
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, key, told = [], None, set()
 
         def done() -> pa.RecordBatch:
-            _, i, j = key
-            place = {g[0]: g[4] for g in group}
+            block, i, j = key
+            place, firsts = {g[0]: g[4] for g in group}, {g[0]: set(g[5]) for g in group}
             pairs = tree_pairs([g[:4] for g in group], share, best)
             pairs = {(min(p), max(p)) for p in pairs if {place[p[0]], place[p[1]]} == {i, j}} - told
+            if not best:
+                pairs = {p for p in pairs if min(firsts[p[0]] & firsts[p[1]], default=block) == block}
             if len(told) + len(pairs) > SEEN_NODES:
                 told.clear()
             told.update(pairs)
@@ -395,7 +401,7 @@ def apart(
             )
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("block", "i", "j", "node", "n", "label", "bits", "own")]
+            columns = [batch.column(c).to_pylist() for c in ("block", "i", "j", "node", "n", "label", "bits", "own", "first")]
             for block, i, j, *row in zip(*columns, strict=True):
                 if (block, i, j) != key:
                     if len(group) > 1:
