@@ -114,7 +114,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         return [ids, [len(i) // ID_BYTES for i in ids]]
 
     made = map_texts(docs, "text", ["doc_id"], encode, [("ids", pa.binary()), ("n", pa.int64())])
-    return cut_lineage(made.withColumn("rid", F.monotonically_increasing_id()))
+    return cut_lineage(made.withColumn("rid", F.monotonically_increasing_id()), "zstd")
 
 
 def pieces(lengths: DataFrame, window: int = WINDOW, unit: int = UNIT, splits: int = SPLITS) -> DataFrame:
