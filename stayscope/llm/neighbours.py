@@ -32,6 +32,7 @@ COPIES = 4
 POST_RATIO = 1.06
 TARGET_RECALL = 0.97
 FIT_QUERIES = 300
+FLOOR_SHARE = 0.05
 GRAPH_DEGREE = 16
 
 
@@ -88,8 +89,8 @@ class CentroidGraph:
                 links[i - 1].add(i)
         self.links = [np.array(sorted(x), dtype=np.int64) for x in links]
 
-    def within(self, q: np.ndarray, ratio: float, entries: int = 4) -> np.ndarray:
-        """Lists whose distance is at most `ratio` times the nearest one's, found best first."""
+    def within(self, q: np.ndarray, ratio: float, floor: float, entries: int = 4) -> np.ndarray:
+        """Lists whose distance is at most `ratio` times the nearest one's (at least `floor`), found best first."""
         n = len(self.centroids)
         starts = np.unique(np.linspace(0, n - 1, min(entries, n)).astype(np.int64))
         seen = np.zeros(n, dtype=bool)
@@ -101,7 +102,7 @@ class CentroidGraph:
         while heap:
             d, at = heapq.heappop(heap)
             best = min(best, d)
-            if d > best * ratio:
+            if d > max(best, floor) * ratio:
                 slack += 1
                 if slack > 2 * GRAPH_DEGREE:
                     break
@@ -113,7 +114,7 @@ class CentroidGraph:
                 ds = np.sqrt(((self.centroids[fresh] - q) ** 2).sum(1))
                 for pair in zip(ds.tolist(), fresh.tolist(), strict=True):
                     heapq.heappush(heap, pair)
-        return np.array([at for d, at in found if d <= best * ratio], dtype=np.int64)
+        return np.array([at for d, at in found if d <= max(best, floor) * ratio], dtype=np.int64)
 
 
 def lifted(v: np.ndarray, norm: float) -> np.ndarray:
@@ -132,10 +133,12 @@ def postings(v: np.ndarray, centroids: np.ndarray, copies: int, ratio: float) ->
 
 def calibrated_ratio(
     sample: np.ndarray, centroids: np.ndarray, k: int, copies: int, post_ratio: float, recall: float
-) -> float:
+) -> tuple[float, float]:
     """Ratio of distances at which searches of sampled vectors find that share of their `k` nearest in the sample.
 
-    Nearest of the whole table are nearer than those of a sample, so they are found more often.
+    Nearest of the whole table are nearer than those of a sample, so they are found more often. A vector
+    may lie on a centroid, so a nearest distance counts as the second value at least: one below most
+    of those over 0.
     """
     asked = sample[:FIT_QUERIES]
     q = np.column_stack([asked[:, :-1], np.zeros(len(asked))])
@@ -143,15 +146,18 @@ def calibrated_ratio(
     scores = asked[:, :-1] @ sample[:, :-1].T
     scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
     n = min(k, len(sample) - 1)
+    least = 1e-6 * float(np.linalg.norm(sample, axis=1).max())
     if n < 1:
-        return 1.0
+        return 1.0, least
     near = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-    d = np.sqrt(((q[:, None] - centroids[None]) ** 2).sum(2))
-    d /= d.min(1)[:, None]
+    d = np.array([np.sqrt(((centroids - x) ** 2).sum(1)) for x in q])
+    best = d.min(1)
+    floor = float(np.quantile(best[best > least], FLOOR_SHARE)) if (best > least).any() else least
+    d /= np.maximum(best, floor)[:, None]
     row, at = postings(sample, centroids, copies, post_ratio)
     ends = np.searchsorted(row, np.arange(len(sample) + 1))
     needed = [d[i, at[ends[j] : ends[j + 1]]].min() for i in range(len(asked)) for j in near[i]]
-    return float(np.quantile(needed, recall)) + 1e-9
+    return max(1.0, float(np.quantile(needed, recall))) + 1e-9, floor
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -187,7 +193,7 @@ def search(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     fitted = lifted(_matrix(sample, width), norm)
     centroids = balanced_centroids(fitted, lists)
-    search_ratio = calibrated_ratio(fitted, centroids, k, copies, post_ratio, target_recall)
+    search_ratio, floor = calibrated_ratio(fitted, centroids, k, copies, post_ratio, target_recall)
     shared = spark.sparkContext.broadcast(CentroidGraph(centroids))
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -199,7 +205,7 @@ def search(
         for b in batches:
             q = np.column_stack([_matrix(b["v"], width), np.zeros(len(b))])
             size = np.sqrt((q**2).sum(1))[:, None] / norm  # a query's length does not change its order
-            found = [shared.value.within(x, search_ratio) for x in q / size]
+            found = [shared.value.within(x, search_ratio, floor) for x in q / size]
             row = np.repeat(np.arange(len(b)), [len(f) for f in found])
             at = np.concatenate(found) if found else np.array([], dtype=np.int64)
             yield pd.DataFrame({"list": at, "q": b["q"].to_numpy()[row], "v": b["v"].to_numpy()[row]})
