@@ -2,8 +2,8 @@
 
 Centroids are fitted on a bounded sample, with a penalty on large clusters. Every vector is posted
 to its nearest list and, near a boundary, to others whose distance is within a ratio of the
-nearest. Queries search the centroids through an in-memory neighbour graph, best first, and take
-all lists within a ratio of the nearest distance. Lists longer than a block are cut into blocks, so
+nearest. Queries search the centroids through an in-memory neighbour graph, best first, until the
+lists met hold enough vectors, and take all lists within a ratio of the distance at which they do. Lists longer than a block are cut into blocks, so
 the work of a task is bounded, and each block gives a query's best candidates by exact scores.
 
 Inner products become distances by one more coordinate, which brings all vectors to the same norm.
@@ -89,8 +89,14 @@ class CentroidGraph:
                 links[i - 1].add(i)
         self.links = [np.array(sorted(x), dtype=np.int64) for x in links]
 
-    def within(self, q: np.ndarray, ratio: float, floor: float, entries: int = 4) -> np.ndarray:
-        """Lists whose distance is at most `ratio` times the nearest one's (at least `floor`), found best first."""
+    def within(
+        self, q: np.ndarray, ratio: float, floor: float, sizes: np.ndarray, need: int, entries: int = 4
+    ) -> np.ndarray:
+        """Lists whose distance is at most `ratio` times that of the base list (at least `floor`), found best first.
+
+        The base list is the nearest one up to which lists hold `need` vectors by `sizes`; while those met
+        hold fewer, none is left out, at last all are taken.
+        """
         n = len(self.centroids)
         starts = np.unique(np.linspace(0, n - 1, min(entries, n)).astype(np.int64))
         seen = np.zeros(n, dtype=bool)
@@ -98,11 +104,18 @@ class CentroidGraph:
         dist = np.sqrt(((self.centroids[starts] - q) ** 2).sum(1))
         heap = list(zip(dist.tolist(), starts.tolist(), strict=True))
         heapq.heapify(heap)
-        found, best, slack = [], float(dist.min()), 0
+        found, base, slack = [], np.inf, 0
+        nearest: list[tuple[float, int]] = []  # the fewest lists met that hold enough, farthest first
+        held = 0
         while heap:
             d, at = heapq.heappop(heap)
-            best = min(best, d)
-            if d > max(best, floor) * ratio:
+            if d < base:
+                heapq.heappush(nearest, (-d, int(sizes[at])))
+                held += int(sizes[at])
+                while held - nearest[0][1] >= need:
+                    held -= heapq.heappop(nearest)[1]
+                base = -nearest[0][0] if held >= need else np.inf
+            if d > max(base, floor) * ratio:
                 slack += 1
                 if slack > 2 * GRAPH_DEGREE:
                     break
@@ -114,7 +127,7 @@ class CentroidGraph:
                 ds = np.sqrt(((self.centroids[fresh] - q) ** 2).sum(1))
                 for pair in zip(ds.tolist(), fresh.tolist(), strict=True):
                     heapq.heappush(heap, pair)
-        return np.array([at for d, at in found if d <= max(best, floor) * ratio], dtype=np.int64)
+        return np.array([at for d, at in found if d <= max(base, floor) * ratio], dtype=np.int64)
 
 
 def lifted(v: np.ndarray, norm: float) -> np.ndarray:
@@ -122,23 +135,28 @@ def lifted(v: np.ndarray, norm: float) -> np.ndarray:
     return np.column_stack([v, np.sqrt(np.maximum(0.0, norm**2 - (v**2).sum(1)))])
 
 
-def postings(v: np.ndarray, centroids: np.ndarray, copies: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row and list of every posting: the nearest list, and near ones within `ratio` of its distance."""
+def postings(
+    v: np.ndarray, centroids: np.ndarray, copies: int, ratio: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and list of every posting, the nearest list and near ones within `ratio` of its distance, and if it is the nearest."""
     d = np.sqrt(np.maximum(0.0, (v**2).sum(1)[:, None] + (centroids**2).sum(1) - 2 * v @ centroids.T))
     n = min(copies, len(centroids))
     near = np.argpartition(d, n - 1, axis=1)[:, :n]
     close = np.take_along_axis(d, near, axis=1)
-    return np.nonzero(close <= close.min(1)[:, None] * ratio)[0], near[close <= close.min(1)[:, None] * ratio]
+    taken = close <= close.min(1)[:, None] * ratio
+    nearest = np.arange(n) == close.argmin(1)[:, None]
+    return np.nonzero(taken)[0], near[taken], nearest[taken]
 
 
 def calibrated_ratio(
-    sample: np.ndarray, centroids: np.ndarray, k: int, copies: int, post_ratio: float, recall: float
+    sample: np.ndarray, centroids: np.ndarray, sizes: np.ndarray, k: int, copies: int, post_ratio: float, recall: float
 ) -> tuple[float, float]:
     """Ratio of distances at which searches of sampled vectors find that share of their `k` nearest in the sample.
 
-    Nearest of the whole table are nearer than those of a sample, so they are found more often. A vector
-    may lie on a centroid, so a nearest distance counts as the second value at least: one below most
-    of those over 0.
+    `sample` holds distinct vectors; `sizes` are the lists' of the whole table, so the ratio is one to the
+    same base list as in a search. Nearest of the whole table are nearer than those of a sample, so they
+    are found more often. A vector may lie on a centroid, so a base distance counts as the second value
+    at least: one below most of those over 0.
     """
     asked = sample[:FIT_QUERIES]
     q = np.column_stack([asked[:, :-1], np.zeros(len(asked))])
@@ -151,10 +169,12 @@ def calibrated_ratio(
         return 1.0, least
     near = np.argpartition(-scores, n - 1, axis=1)[:, :n]
     d = np.array([np.sqrt(((centroids - x) ** 2).sum(1)) for x in q])
-    best = d.min(1)
-    floor = float(np.quantile(best[best > least], FLOOR_SHARE)) if (best > least).any() else least
-    d /= np.maximum(best, floor)[:, None]
-    row, at = postings(sample, centroids, copies, post_ratio)
+    order = np.argsort(d, axis=1)
+    enough = (np.cumsum(sizes[order], axis=1) <= k).sum(1).clip(max=len(centroids) - 1)
+    base = np.take_along_axis(d, np.take_along_axis(order, enough[:, None], axis=1), axis=1)
+    floor = float(np.quantile(base[base > least], FLOOR_SHARE)) if (base > least).any() else least
+    d /= np.maximum(base, floor)
+    row, at, _ = postings(sample, centroids, copies, post_ratio)
     ends = np.searchsorted(row, np.arange(len(sample) + 1))
     needed = [d[i, at[ends[j] : ends[j + 1]]].min() for i in range(len(asked)) for j in near[i]]
     return max(1.0, float(np.quantile(needed, recall))) + 1e-9, floor
@@ -180,6 +200,7 @@ def search(
     `vectors` has vec_id and embedding (see `usable`); `is_query` is a condition on vec_id. The fit
     looks at `sample_rows` vectors, the index holds all. Of equal vectors only the k + 1 smallest
     vec_ids can be among the k nearest, so only they are posted; equal queries are searched once.
+    A query has fewer than `k` rows only where the table has fewer other vectors.
     Rows with a query's own vec_id aren't its candidates. Ties go to the smaller vec_id.
     """
     spark = vectors.sparkSession
@@ -192,27 +213,32 @@ def search(
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     fitted = lifted(_matrix(sample, width), norm)
+    fitted = fitted[np.sort(np.unique(fitted, axis=0, return_index=True)[1])]
     centroids = balanced_centroids(fitted, lists)
-    search_ratio, floor = calibrated_ratio(fitted, centroids, k, copies, post_ratio, target_recall)
     shared = spark.sparkContext.broadcast(CentroidGraph(centroids))
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            row, at = postings(lifted(_matrix(b["v"], width), norm), shared.value.centroids, copies, post_ratio)
-            yield pd.DataFrame({"list": at, "vec_id": b["vec_id"].to_numpy()[row], "v": b["v"].to_numpy()[row]})
+            row, at, own = postings(lifted(_matrix(b["v"], width), norm), shared.value.centroids, copies, post_ratio)
+            yield pd.DataFrame({"list": at, "vec_id": b["vec_id"].to_numpy()[row], "v": b["v"].to_numpy()[row], "own": own})
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             q = np.column_stack([_matrix(b["v"], width), np.zeros(len(b))])
             size = np.sqrt((q**2).sum(1))[:, None] / norm  # a query's length does not change its order
-            found = [shared.value.within(x, search_ratio, floor) for x in q / size]
+            found = [shared.value.within(x, search_ratio, floor, held, k + 1) for x in q / size]
             row = np.repeat(np.arange(len(b)), [len(f) for f in found])
             at = np.concatenate(found) if found else np.array([], dtype=np.int64)
             yield pd.DataFrame({"list": at, "q": b["q"].to_numpy()[row], "v": b["v"].to_numpy()[row]})
 
     first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     few = rows.withColumn("_n", first).where(F.col("_n") <= k + 1).select("vec_id", "v")
-    posted = cut_lineage(few.mapInPandas(post, "list int, vec_id long, v array<double>"))
+    posted = cut_lineage(few.mapInPandas(post, "list int, vec_id long, v array<double>, own boolean"))
+    counts = posted.groupBy("list").agg(F.count_if("own").alias("n")).toPandas()  # one row per list
+    held = np.zeros(len(centroids), dtype=np.int64)  # each vector counts in its nearest list only
+    held[counts["list"]] = counts["n"]
+    search_ratio, floor = calibrated_ratio(fitted, centroids, held, k, copies, post_ratio, target_recall)
+    posted = posted.drop("own")
     asked = rows.where(is_query)
     distinct = asked.groupBy("v").agg(F.min("vec_id").alias("q"), F.count(F.lit(1)).alias("_size"))
     distinct = cut_lineage(distinct)

@@ -39,3 +39,16 @@ def test_signs_with_a_large_group_of_copies(spark):
         hits += sum(-s >= -scores[-1] for s in (-x for _, x in got[q]))
     assert hits >= 0.9 * 10 * len(queries)
     assert [i for i, _ in got[1000]] == list(range(1001, 1011))
+
+
+def test_a_small_group_apart_is_filled_up_from_others(spark):
+    pick = np.random.default_rng(9)
+    rows = [(i, pick.normal(size=8).tolist()) for i in range(1600)]
+    away = [20.0] + [0.0] * 7
+    rows += [(2000 + i, (np.array(away) + pick.normal(size=8) * 1e-4).tolist()) for i in range(10)]
+    got = found(spark, rows, 20)
+    assert {len(x) for x in got.values()} == {20}
+    assert {i for i, _ in got[2000][:9]} == set(range(2001, 2010))
+    vectors = dict(rows)
+    best = sorted((-np.dot(vectors[2000], v), i) for i, v in rows if i != 2000)[:20]
+    assert len({i for _, i in best} & {i for i, _ in got[2000]}) >= 15
