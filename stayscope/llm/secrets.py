@@ -28,9 +28,10 @@ HINTS = ("password", "passwd", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "literal")
 
 BIND = re.compile(r"=>|:=|=(?!=)|:(?![:/=])")
-NAME_BACK = re.compile(r"""[ \t]*["'\]]?([\w.$-]*[A-Za-z_$])""")
+NAME_BACK = re.compile(r"""[ \t]*(?:\][ \t]*)?["'`]?([\w.$-]*[A-Za-z_$])""")
 PART = re.compile(
-    r"""[ \t]*(?:[frbuFRBU]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)"""
+    r"""[ \t]*(?:[frbuFRBU]{0,2}(?:\"{3}((?:[^"\\]|\\[\s\S]|"(?!""))*+)\"{3}|'{3}((?:[^'\\]|\\[\s\S]|'(?!''))*+)'{3}"""
+    r"""|"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)"""
     r"""|([A-Za-z_$][\w.$]*)(?![\w+/=-])|([A-Za-z0-9+/_.=-]+))"""
 )
 PLUS = re.compile(r"[ \t]*[+.][ \t]*(?=[\"'`A-Za-z_$])")
@@ -38,7 +39,7 @@ PIECE = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 NAME_WEIGHTS = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 1.0, "apikey": 1.0,
-    "credential": 0.9, "credentials": 0.9, "auth": 0.8, "bearer": 0.8, "signature": 0.7, "salt": 0.6,
+    "credential": 0.9, "credentials": 0.9, "auth": 0.8, "authorization": 0.8, "bearer": 0.8, "signature": 0.7, "salt": 0.6,
 }
 KEY_KINDS = {"api", "access", "private", "signing", "encryption", "secret", "master", "account", "service"}
 PLACEHOLDERS = re.compile(r"x{4,}|\*{3,}|<.*>|\$\{.*\}|%\(.*\)s|change_?me|example|placeholder|your[_-]", re.I)
@@ -87,8 +88,12 @@ def bindings(text: str) -> list[tuple[str, list[tuple[int, int]], list[tuple[int
         literals, names, pos = [], [], m.end()
         while part := PART.match(text, pos):
             group = part.lastindex
-            if group == 4:
-                names.append(part.span(4))
+            if group == 6:
+                names.append(part.span(6))
+            elif group <= 2:  # lines of a literal in three quotes: without the white space around them
+                inside = part[group].removeprefix("\\\n")
+                a = part.end(group) - len(inside.lstrip())
+                literals.append((a, a + len(inside.strip())))
             else:
                 literals.append(part.span(group))
             pos = part.end()
