@@ -37,8 +37,16 @@ BLOCK = set(
     form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th
     thead tr ul br""".split()
 )
-UNSEEN = set("head script style noscript template title textarea select option button svg math iframe object canvas audio video datalist".split())
-RAW = set("script style textarea title noscript template iframe svg".split())
+UNSEEN = set("head script style noscript template title textarea select option button svg iframe object canvas audio video datalist annotation annotation-xml".split())
+RAW = set("script style textarea title noscript template iframe".split())
+FOREIGN = set("svg math".split())
+# HTML inside svg or math is content of these; elsewhere such elements end the svg or math.
+HOLDERS = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = set(
+    """b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr
+    ol p pre ruby s small span strong strike sub sup table tt u ul var article section main aside nav header footer
+    figure form td th tr tbody""".split()
+)
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
@@ -109,13 +117,14 @@ def parse(source: str, label: Callable[[str, str], int | None] | None = None) ->
     nodes = [Node("html", -1, 0, 0)]
     runs: list[tuple[int, int, bool, str]] = []
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements and the block node they are in
-    block, unseen, links, pos, n = 0, 0, 0, 0, len(source)
+    block, unseen, links, foreign, pos, n = 0, 0, 0, 0, 0, len(source)
 
     def pop() -> None:
-        nonlocal unseen, links, block
+        nonlocal unseen, links, foreign, block
         tag, _ = stack.pop()
         unseen -= tag in UNSEEN
         links -= tag == "a"
+        foreign -= tag in FOREIGN
         block += tag in BLOCK
 
     while pos < n:
@@ -142,6 +151,13 @@ def parse(source: str, label: Callable[[str, str], int | None] | None = None) ->
             elif tag in BLOCK:
                 block += 1
             continue
+        if foreign and m[3].endswith("/") and tag not in BREAKOUT:
+            continue
+        if foreign and tag in BREAKOUT:
+            i = max(i for i, (t, _) in enumerate(stack) if t in FOREIGN)
+            if not any(t in HOLDERS for t, _ in stack[i:]):
+                while foreign:
+                    pop()
         if tag in BLOCK and tag != "br":
             for i in range(len(stack) - 1, 0, -1):
                 name = stack[i][0]
@@ -150,7 +166,7 @@ def parse(source: str, label: Callable[[str, str], int | None] | None = None) ->
                         pop()
                     if name == "p":
                         continue
-                elif name in FENCES:
+                elif name in FENCES or name in FOREIGN:
                     break
         block += tag in BLOCK
         if tag in VOID:
@@ -170,6 +186,7 @@ def parse(source: str, label: Callable[[str, str], int | None] | None = None) ->
             stack.append((tag, at))
             unseen += tag in UNSEEN
             links += tag == "a"
+            foreign += tag in FOREIGN
     return Page(nodes, [(a, b, c, html.unescape(t) if "&" in t else t) for a, b, c, t in runs])
 
 
