@@ -206,7 +206,7 @@ def features(page: Page) -> np.ndarray:
         linked[node] += size * link
         marks[node] += text.count(".") + text.count(",") + text.count("!") + text.count("?") + text.count(";")
         words[node] += text.count(" ") + 1
-        digits[node] += sum(map(str.isdigit, text[:400]))
+        digits[node] += sum(map(text.count, "0123456789")) if text.isascii() else sum(map(str.isdigit, text))
         upper[node] += "\xa9" in text
         first[node] = min(first[node], total)
         total += size
