@@ -5,8 +5,8 @@ with its position, the hashes are rolled up by XOR into one hash per prefix, and
 whose whole hash is the prefix hash of a longer one is dropped by an anti-join of distinct
 hashes. Of equal conversations the smallest conv_id stays. What is left is rendered.
 
-Turns are numbered and rolled up in blocks of a thousand turn numbers, so no task needs a whole
-conversation. All of it is built-in expressions.
+Turns are numbered over ranges of all rows and rolled up in blocks of a thousand places, so no task
+needs a whole conversation, whatever its turn numbers are. All of it is built-in expressions.
 """
 
 from __future__ import annotations
@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stayscope.llm.common import or_empty, table
+from stayscope.operators.ordering import row_numbers
 from stayscope.sources.checkpoints import cut_lineage
 
 BLOCK_TURNS = 1000
+PART_BYTES = 1 << 26
 HASHES = ("_a", "_b")
 
 
@@ -29,24 +31,27 @@ def _with_offsets(turns: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def ordered_turns(turns: DataFrame, block: int = BLOCK_TURNS) -> DataFrame:
-    """conv_id, role, text, _block, part (number of the block from 0) and k (position from 1).
+    """conv_id, role, text, k (position from 1), _block (`block` positions) and part (number of the `block` turn numbers, from 0).
 
     Turns stand by turn (NULL first), role and text; NULL roles and texts are empty; identical rows
     count once. NULL is a conversation of its own.
     """
     rows = turns.select("conv_id", "turn", or_empty("role").alias("role"), or_empty("text").alias("text")).distinct()
-    rows = cut_lineage(rows.withColumn("_block", F.floor(F.col("turn") / block)))
+    order = [F.asc_nulls_first(c) for c in ("conv_id", "turn", "role", "text")]
+    rows = cut_lineage(row_numbers(rows, order, "_row", one_task_rows=block))
+    rows = rows.withColumn("_block", F.floor(F.col("turn") / block))
+    whole = Window.partitionBy("conv_id")
     before = Window.partitionBy("conv_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("conv_id", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    starts = rows.groupBy("conv_id", "_block").agg(F.min("_row").alias("_first"))
     starts = starts.select(
         "conv_id",
         "_block",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        F.min("_first").over(whole).alias("_start"),
         F.count(F.lit(1)).over(before).alias("part"),
     )
-    within = Window.partitionBy("conv_id", "_block").orderBy("turn", "role", "text")
-    placed = _with_offsets(rows.withColumn("_k", F.row_number().over(within)), starts)
-    return placed.select("conv_id", "role", "text", "_block", "part", (F.col("_start") + F.col("_k")).alias("k"))
+    place = F.col("_row") - F.col("_start")
+    placed = _with_offsets(rows, starts).select("conv_id", "role", "text", "part", (place + 1).alias("k"))
+    return placed.withColumn("_block", F.floor((F.col("k") - 1) / block))
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
@@ -86,15 +91,29 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """Maximal conversations rendered: conv_id, part, n_turns, copies, text.
 
     A conversation with at most `BLOCK_TURNS` turns numbered from 0 is one row; a longer one has a
-    row per block, in the order of `part`, whose texts follow one another. An empty table gives no rows.
+    row per block of turn numbers, in the order of `part`, whose texts follow one another. Where many turns
+    share their numbers, a text ends with the first thousand turns by which it has `PART_BYTES`, and parts
+    count on. An empty table gives no rows.
     """
     turns = cut_lineage(ordered_turns(conversations))
     kept = maximal_conversations(turns).withColumnRenamed("conv_id", "_kept")
     rows = turns.join(kept, F.col("conv_id").eqNullSafe(F.col("_kept")))
-    pieces = F.array_sort(F.collect_list(F.struct("k", rendered(F.col("role"), F.col("text")).alias("s"))))
-    grouped = rows.groupBy("conv_id", "part", "copies").agg(
-        F.count(F.lit(1)).alias("n_turns"), F.array_join(F.transform(pieces, lambda p: p["s"]), "").alias("text")
-    )
+    rows = rows.select("conv_id", "part", "copies", "_block", "k", rendered(F.col("role"), F.col("text")).alias("s"))
+
+    def joined(at: str) -> Column:
+        pieces = F.array_sort(F.collect_list(F.struct(at, "s")))
+        return F.array_join(F.transform(pieces, lambda p: p["s"]), "")
+
+    keys = ["conv_id", "part", "copies", "_block"]
+    blocks = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), joined("k").alias("s")))
+    upto = Window.partitionBy("conv_id", "part").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = blocks.select("conv_id", "part", "_block", F.octet_length("s").cast("long").alias("_bytes"))
+    sizes = sizes.withColumn("_cut", F.floor(F.coalesce(F.sum("_bytes").over(upto), F.lit(0)) / PART_BYTES))
+    number = (F.dense_rank().over(Window.partitionBy("conv_id").orderBy("part", "_cut")) - 1).cast("long")
+    sizes = sizes.select(F.col("conv_id").alias("_conv"), F.col("part").alias("_of"), F.col("_block").alias("_b"), number.alias("_part"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_of")) & (F.col("_block") == F.col("_b"))
+    blocks = blocks.join(sizes, same).select("conv_id", F.col("_part").alias("part"), "copies", "_block", "_n", "s")
+    grouped = blocks.groupBy("conv_id", "part", "copies").agg(F.sum("_n").alias("n_turns"), joined("_block").alias("text"))
     return grouped.select("conv_id", "part", "n_turns", "copies", "text")
 
 
