@@ -1,6 +1,6 @@
 """The corpus operators' queries over the given tables, and their SQL where SQL can express them."""
 
-from stayscope.llm import chat, exact_dedup, mixing, neighbours, packing, pages, quality, secrets, similar, toxicity
+from stayscope.llm import chat, exact_dedup, mixing, neighbours, packing, pages, periodic, quality, secrets, similar, toxicity
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_similar_documents": similar.op9_similar_documents,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op12_word_runs": periodic.op12_word_runs,
 }
 
 ORACLE_SQL = {
