@@ -1,6 +1,6 @@
 """The corpus operators' queries over the given tables, and their SQL where SQL can express them."""
 
-from stayscope.llm import chat, divergence, exact_dedup, mixing, neighbours, packing, pages, periodic, quality, secrets, similar, toxicity
+from stayscope.llm import chat, divergence, exact_dedup, licenses, mixing, neighbours, packing, pages, periodic, quality, secrets, similar, toxicity
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_nearest_neighbours": neighbours.op8_nearest_neighbours,
     "op9_similar_documents": similar.op9_similar_documents,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_license_scan": licenses.op11_license_scan,
     "op12_word_runs": periodic.op12_word_runs,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
@@ -21,5 +22,6 @@ ORACLE_SQL = {
     "op1_source_mix": mixing.OP1_SQL,
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op6_chat_format": chat.OP6_SQL,
+    "op11_license_scan": licenses.OP11_SQL,
     "op13_source_divergence": divergence.OP13_SQL,
 }
