@@ -69,7 +69,7 @@ def frame(spark, docs):
 def test_labels_against_brute_force_and_sql(spark, rows, tmp_path):
     docs = list(enumerate(some_texts(random.Random(2), 150)))
     docs += [(None, "CC BY"), (7, None), (7, ""), (7, "cc by"), (7, "cc by"), (200, "ccby cc-BY cc\x00by cc–by CC\nBY"), (201, "ALL  RIGHTS, reserved all rights")]
-    docs += [(202, "ſ all rights reſerved İ ß"), (203, "all rights reserved " * 40_000), (204, "mit " * 50_000 + "released under the license")]
+    docs += [(202, "ſ all rights reſerved İ ß"), (203, "all rights reserved " * 90), (204, "mit " * 300 + "released under the license")]
     frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
     got = licenses.op11_license_scan(spark, str(tmp_path))
     assert got.columns == COLUMNS
@@ -91,6 +91,11 @@ def test_every_block_over_the_threshold_is_found(spark, least):
     assert len(got) > 40
 
 
+def test_long_texts(spark, rows):
+    docs = [(1, "all rights reserved " * 40_000), (2, "mit " * 50_000 + "released under the license"), (3, "w " * 300_000 + "cc by nc 4.0 licensed under")]
+    assert rows(licenses.license_labels(frame(spark, docs))) == sorted((expected(*d) for d in docs), key=repr)
+
+
 def test_own_templates_and_none(spark, rows):
     docs = frame(spark, [(1, "Do what you like, once or twice. " * 3), (2, "nothing"), (3, None)])
     own = [("free", "do what you like"), ("void", " ,. "), ("twice", "once or twice" + " or more" * 70)]
