@@ -30,7 +30,8 @@ NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-CELLS = 200_000
+CELLS = 2_000_000
+SAFE = float(1 << 61)
 PATH_BATCH = 4096
 
 
@@ -90,14 +91,20 @@ class PairTree:
     """The path of a frequent-pattern tree that is open now, and the sums of its closed nodes by pair of sources.
 
     Rows come in order, each a list of (rank, p, zero) with a multiplicity. `flush` gives (rank, other, sum) so far.
+    Sums are 64-bit as long as a bound of their size allows it, then they are put away as Python integers.
     """
 
     def __init__(self):
         self.items: list[tuple[int, int, int]] = []
         self.below: list[int] = []  # terms at or under each open node
-        self.ranks, self.p, self.zero = (np.zeros(64, dtype=np.int64) for _ in range(3))
-        self.sums: dict[int, dict[int, int]] = defaultdict(lambda: defaultdict(int))
-        self.cells = 0
+        self.sums: dict[int, np.ndarray] = {}  # by node: sums there and back, by ancestor
+        self.away: dict[tuple[int, int], int] = defaultdict(int)
+        self.width, self.bound, self.nodes = 64, 0.0, 0
+
+    @property
+    def cells(self) -> int:
+        """Size of what `flush` would give."""
+        return 2 * self.width * len(self.sums) + len(self.away)
 
     def insert(self, items: list[tuple[int, int, int]], times: int) -> None:
         """Add a row that occurs `times`; nodes that it has not in common with the one before are closed."""
@@ -107,45 +114,68 @@ class PairTree:
                 break
             shared += 1
         self.close(shared)
-        for rank, p, zero in items[shared:]:
-            depth = len(self.items)
-            if depth == len(self.ranks):
-                self.ranks, self.p, self.zero = (np.concatenate([a, a]) for a in (self.ranks, self.p, self.zero))
-            self.ranks[depth], self.p[depth], self.zero[depth] = rank, p, zero
-            self.items.append((rank, p, zero))
-            self.below.append(0)
+        self.items += items[shared:]
+        self.below += [0] * (len(items) - shared)
         if items:
             self.below[-1] += times
 
     def close(self, depth: int = 0) -> None:
         """Close all open nodes but the first `depth`: each adds its correction with every ancestor once."""
-        while len(self.items) > depth:
-            (rank, q, q0), times = self.items.pop(), self.below.pop()
-            above = len(self.items)
-            if not above:
-                continue
-            self.below[-1] += times
-            p, p0 = self.p[:above], self.zero[:above]
-            there = _excess(p, q) - _excess(p, q0) - _excess(p0, q) + _excess(p0, q0)
-            back = _excess(q, p) - _excess(q0, p) - _excess(q, p0) + _excess(q0, p0)
-            others, mine = self.ranks[:above].tolist(), self.sums[rank]
-            self.cells += above
-            for other, x, y in zip(others, there.tolist(), back.tolist(), strict=True):
-                self.sums[other][rank] += x * times
-                mine[other] += y * times
+        items, below, keep, depth = self.items, self.below, depth, max(depth, 1)
+        if len(items) <= depth:
+            self.items, self.below = items[:keep], below[:keep]
+            return
+        for i in range(len(items) - 1, depth - 1, -1):
+            below[i - 1] += below[i]
+        table = np.array(items, dtype=np.int64)
+        ranks, p, p0 = table[:-1].T
+        mine, q, q0 = table[depth:, :, None].transpose(1, 0, 2)
+        times = np.array(below[depth:])
+        there, back = np.zeros((len(q), len(p)), dtype=np.int64), np.zeros((len(q), len(p)), dtype=np.int64)
+        for a, b, sign in ((p, q, 1), (p, q0, -1), (p0, q, -1), (p0, q0, 1)):
+            square = (a - b) * (a - b)
+            there += sign * (square // b)
+            back += sign * (square // a)
+        for i, of in enumerate(mine[:, 0].tolist()):
+            above = depth + i
+            self._add(of, ranks[:above], np.stack([there[i, :above], back[i, :above]]), int(times[i]))
+            self.nodes += above
+        self.items, self.below = items[:keep], below[:keep]
+
+    def _add(self, rank: int, others: np.ndarray, values: np.ndarray, times: int) -> None:
+        most = float(np.abs(values).max()) * times
+        if most > SAFE:
+            for other, there, back in zip(others.tolist(), *values.tolist(), strict=True):
+                self.away[other, rank] += there * times
+                self.away[rank, other] += back * times
+            return
+        self.bound += most
+        if self.bound > SAFE:
+            self._put_away()
+            self.bound = most
+        if others.max() >= self.width:
+            self._put_away()
+            self.width = 2 * int(others.max())
+        if rank not in self.sums:
+            self.sums[rank] = np.zeros((2, self.width), dtype=np.int64)
+        self.sums[rank][:, others] += values * times
+
+    def _put_away(self) -> None:
+        for rank, (there, back) in self.sums.items():
+            for other in np.flatnonzero(there | back).tolist():
+                self.away[other, rank] += int(there[other])
+                self.away[rank, other] += int(back[other])
+        self.sums.clear()
 
     def flush(self) -> list[tuple[int, int, int]]:
         """All sums of closed nodes, which are forgotten."""
-        found = [(a, b, v) for a, row in self.sums.items() for b, v in row.items()]
-        self.sums.clear()
-        self.cells = 0
+        self._put_away()
+        found = [(a, b, v) for (a, b), v in self.away.items()]
+        self.away.clear()
+        self.bound = 0.0
         return found
 
 
-def _excess(p, q):
-    return (p - q) * (p - q) // q
-
-
 def tree_sums(terms: DataFrame) -> DataFrame:
     """lang, rank, other, value (decimal): what pairs of sources gain by the terms of both. A term has an item per source."""
     item = F.struct("rank", "p", "zero")
