@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stayscope.llm.common import BLANK, or_empty, word_count
-from stayscope.operators.ordering import running_totals
+from stayscope.operators.joins import attach, fits_broadcast
+from stayscope.operators.ordering import row_numbers, running_totals
 from stayscope.sources.checkpoints import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 RANGE_DIGITS = 3
+RANGE_ROWS = 100_000
 
 
 def random_key(doc_id: str, text: str, seed: str = "mix") -> Column:
@@ -106,25 +108,70 @@ def first_words(text: Column, n: Column) -> Column:
     return F.regexp_replace(F.concat_ws("", F.slice(words, F.lit(1), n.cast("int") + lead)), f"{BLANK}+\\z", "")
 
 
+def source_cuts(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Where each source's last epoch ends: source, epochs (whole ones), cut (a key) and left (words to take at that key).
+
+    `rows` has source, size and key, stored. Rows before the cut are taken once more than `epochs`, those
+    after it are not. Only the hash range that holds a source's cut is put in order; ranges get
+    finer with the number of rows. A source without words has no cut: epochs 0, NULL, 0.
+    """
+    digits, total = RANGE_DIGITS, rows.count()
+    while total > range_rows * 16**digits:
+        digits += 1
+    near = F.substring("key", 1, digits)
+    ranges = cut_lineage(rows.groupBy("source", near.alias("range")).agg(F.sum("size").alias("sum")))
+    targets = source_targets(ranges.groupBy("source").agg(F.sum("sum").alias("source_size")), weights, max_epochs)
+    budget = F.floor(F.col("target") + 0.5)
+    epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
+    targets = targets.select(F.col("source").alias("of"), epochs.alias("epochs"), (budget - epochs * F.col("source_size")).alias("rest"))
+    targets = cut_lineage(targets)
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.withColumn("start", F.coalesce(F.sum("sum").over(before), F.lit(0)))
+    starts = starts.join(targets, F.col("source").eqNullSafe(F.col("of")))
+    starts = starts.where((F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("sum")))
+    starts = starts.select("of", "range", (F.col("rest") - F.col("start")).alias("ahead"))
+    starts = cut_lineage(starts)
+    starts = F.broadcast(starts) if fits_broadcast(starts) else starts
+    inside = rows.join(starts, F.col("source").eqNullSafe(F.col("of")) & (near == F.col("range")))
+    alike = inside.groupBy("of", "key", "ahead").agg(F.sum("size").alias("sum"))
+    upto = Window.partitionBy("of").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    alike = alike.withColumn("upto", F.sum("sum").over(upto)).withColumn("start", F.col("upto") - F.col("sum"))
+    met = alike.where((F.col("start") <= F.col("ahead")) & (F.col("ahead") < F.col("upto")))
+    met = met.select(F.col("of").alias("at"), F.col("key").alias("cut"), (F.col("ahead") - F.col("start")).alias("left"))
+    found = targets.join(met, F.col("of").eqNullSafe(F.col("at")), "left")
+    return found.select(F.col("of").alias("source"), "epochs", "cut", F.coalesce("left", F.lit(0)).cast("long").alias("left"))
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of `docs`: whole copies, and one cut text per source.
 
     A document is repeated once per epoch; the one at its source's cut ends after the last word
-    taken, with n_chars (if there is such a column) counted anew. What the budget leaves is gone.
+    taken, with n_chars (if there is such a column) counted anew. What the budget leaves is gone,
+    NULL and empty texts too. Repeated rows at a cut are taken one after the other. Any other column
+    may have any name. An empty table gives an empty one. Texts are not moved: a row is decided by
+    its key and its source's cut, and only the rows at a cut are numbered.
     """
-    small = cut_lineage(keyed(docs).select("source", "size", "key"))
-    placed = mix(keyed(docs, F.struct(*docs.columns).alias("_row")), small)
-    full = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
-    part = F.col("taken") - full * F.col("size")
-    copies = F.when(F.col("taken") > 0, F.sequence(F.lit(1), full + F.when(part > 0, 1).otherwise(0)))
-    placed = placed.select("_row", full.alias("_full"), part.alias("_part"), F.explode(copies).alias("_copy"))
-    cut = F.when(F.col("_copy") > F.col("_full"), first_words(F.col("_row.text"), F.col("_part")))
-    text = F.coalesce(cut, F.col("_row.text"))
-    changed = {"text": text, "n_chars": F.when(cut.isNotNull(), F.length(cut)).otherwise(F.col("_row.n_chars"))} if (
-        "n_chars" in docs.columns
-    ) else {"text": text}
+    cuts = source_cuts(cut_lineage(keyed(docs).select("source", "size", "key")))
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))  # NULL is a source of its own
+    cuts = cut_lineage(cuts.select(named.alias("source"), "epochs", "cut", "left"))
+    rows = keyed(docs, F.struct(*docs.columns).alias("row")).select("row", "size", "key", named.alias("source"))
+    rows = attach(rows, cuts, "source").where("size > 0")
+    plain = rows.where("cut IS NULL OR key <> cut")
+    times = (F.col("epochs") + F.when(F.col("key") < F.col("cut"), 1).otherwise(0)).cast("int")
+    plain = plain.select("row", F.explode(F.array_repeat(F.lit(0).cast("long"), times)).alias("part"))
+    met = cut_lineage(rows.where("key = cut").withColumn("id", F.monotonically_increasing_id()))
+    met = cut_lineage(row_numbers(met, ["source", "id"], "n"))  # rows of one text per source
+    met = attach(met, met.groupBy("source").agg(F.min("n").alias("first")), "source")
+    take = F.greatest(F.lit(0), F.least(F.col("left") - (F.col("n") - F.col("first")) * F.col("size"), F.col("size")))
+    times = (F.col("epochs") + F.when(take == F.col("size"), 1).otherwise(0)).cast("int")
+    some = F.when((take > 0) & (take < F.col("size")), F.array(take)).otherwise(F.array().cast("array<bigint>"))
+    met = met.select("row", F.explode(F.concat(F.array_repeat(F.lit(0).cast("long"), times), some)).alias("part"))
+    short = F.when(F.col("part") > 0, first_words(F.col("row.text"), F.col("part")))
+    changed = {"text": F.coalesce(short, F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(short.isNotNull(), F.length(short)).otherwise(F.col("row.n_chars"))
     kinds = dict(docs.dtypes)
-    return placed.select(*[changed.get(c, F.col("_row")[c]).cast(kinds[c]).alias(c) for c in docs.columns])
+    return plain.unionByName(met).select(*[changed.get(c, F.col("row")[c]).cast(kinds[c]).alias(c) for c in docs.columns])
 
 
 def op1_source_mix(spark, sf_dir) -> DataFrame:

@@ -10,6 +10,8 @@ packed greedily: laid end to end and cut at window borders.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stayscope.llm.common import map_texts, table
-from stayscope.llm.tokens import word_tokenizer
+from stayscope.llm.tokens import id_bytes, widened, word_tokenizer
 from stayscope.sources.checkpoints import cut_lineage
 
 WINDOW = 4096
@@ -104,14 +106,14 @@ def plan(histogram: dict[int, int], bins: int) -> list[tuple[int, int, int, int,
     return places
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, ids (unsigned 32-bit little-endian, with the end id) and n, stored with a row number `rid`."""
-    end = end_id.to_bytes(ID_BYTES, "little")
+def tokenised(docs: DataFrame, path: str, end_id: int = END_ID, width: int = ID_BYTES) -> DataFrame:
+    """doc_id, ids (unsigned little-endian of `width` bytes, with the end id) and n, stored with a row number `rid`."""
+    end = end_id.to_bytes(width, "little")
 
     def encode(texts: list[str]) -> list:
-        words = word_tokenizer(path)
+        words = word_tokenizer(path, width)
         ids = [words.ids(t) + end for t in texts]
-        return [ids, [len(i) // ID_BYTES for i in ids]]
+        return [ids, [len(i) // width for i in ids]]
 
     made = map_texts(docs, "text", ["doc_id"], encode, [("ids", pa.binary()), ("n", pa.int64())])
     return cut_lineage(made.withColumn("rid", F.monotonically_increasing_id()), "zstd")
@@ -201,14 +203,24 @@ def packed_ids(docs: DataFrame, path: str, window: int = WINDOW, unit: int = UNI
     NULL and empty texts have the end id alone; repeated rows are packed each on their own; an
     empty table gives no pieces.
     """
-    tokens = tokenised(docs, path)
+    width = id_bytes(path)
+    tokens = tokenised(docs, path, width=width)
     where = cut_lineage(pieces(tokens.select("rid", "n"), window, unit))
     by_row = where.groupBy("rid").agg(
         F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("_pieces")
     )  # a document has few pieces
     found = tokens.join(by_row, "rid").select("doc_id", "ids", F.col("n").alias("doc_tokens"), F.inline("_pieces"))
-    cut = F.substring(F.col("ids"), (F.col("start") * ID_BYTES + 1).cast("int"), (F.col("length") * ID_BYTES).cast("int"))
-    return found.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", cut.alias("ids"))
+    cut = F.substring(F.col("ids"), (F.col("start") * width + 1).cast("int"), (F.col("length") * width).cast("int"))
+    found = found.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", cut.alias("ids"))
+    if width == ID_BYTES:
+        return found
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("ids")
+            yield batch.set_column(at, "ids", widened(batch.column(at), width).cast(pa.binary()))
+
+    return found.mapInArrow(wide, found.schema)
 
 
 def sequences(docs: DataFrame, path: str, window: int = WINDOW, unit: int = UNIT) -> DataFrame:

@@ -10,6 +10,7 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 CACHE_WORDS = 600_000
 PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
@@ -28,21 +29,24 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Ids as little-endian unsigned 32-bit integers."""
+    """Ids as little-endian unsigned integers of `width` bytes, which must hold every id of the vocabulary."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, width: int = 4, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
+        if self.whole.get_vocab_size() > 1 << 8 * width:
+            raise ValueError(f"ids of {path} need more than {width} bytes")
+        self.width = width
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
         self.cache_words = cache_words
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, straight from the tokenizer."""
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
 
     def _word(self, word: str) -> bytes:
         if PLAIN.fullmatch(word) and "<|" not in word:
@@ -50,7 +54,7 @@ class WordTokenizer:
             pieces = PIECES.findall(low) if not low.isalpha() else [low]
             if not word.isascii():
                 pieces = [p.translate(self.letters) for p in pieces]
-            ids = b"".join([t.id.to_bytes(4, "little") for p in pieces for t in self.model.tokenize(p)])
+            ids = b"".join([t.id.to_bytes(self.width, "little") for p in pieces for t in self.model.tokenize(p)])
         else:
             ids = self.encode(word)
         if len(self.words) >= self.cache_words:
@@ -69,11 +73,28 @@ class WordTokenizer:
         return b"".join(found)
 
 
-_KEPT: dict[str, WordTokenizer] = {}
+_KEPT: dict[tuple[str, int], WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, width: int = 4) -> WordTokenizer:
     """The worker's tokenizer for a vocabulary file, loaded once."""
-    if path not in _KEPT:
-        _KEPT[path] = WordTokenizer(path)
-    return _KEPT[path]
+    if (path, width) not in _KEPT:
+        _KEPT[path, width] = WordTokenizer(path, width)
+    return _KEPT[path, width]
+
+
+def id_bytes(path: str) -> int:
+    """Bytes that hold any id of a vocabulary file: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
+
+
+def widened(ids: pa.Array, width: int) -> pa.Array:
+    """Binary ids of `width` bytes each as ids of four bytes."""
+    ids = ids.cast(pa.large_binary())
+    ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset : ids.offset + len(ids) + 1]
+    first, last = (int(ends[0]), int(ends[-1])) if len(ids) else (0, 0)
+    values = np.frombuffer(ids.buffers()[2] or b"", dtype=np.uint8)[first:last].view(f"<u{width}").astype("<u4")
+    places = pa.py_buffer((ends - first) // width * 4) if len(ids) else ids.buffers()[1]
+    return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, places, pa.py_buffer(values)])
