@@ -10,6 +10,7 @@ from stayscope.operators import resampling as S
 from stayscope.operators import validation as V
 from stayscope.operators.features import assemble
 from stayscope.operators.scaling import fit_scaler, scaled
+from stayscope.operators.seasons import months_without_gaps, yearly_wave
 
 entries = Entries()
 
@@ -130,3 +131,36 @@ def lines_from_zero_to_one(spark, sf_dir):
 def lines_by_quartiles(spark, sf_dir):
     """Three columns less their median, by the distance of their quartiles."""
     return _scaled(spark, sf_dir, "quantile")
+
+
+def _order_months(spark, sf_dir):
+    return months_without_gaps(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderdate", "o_totalprice")
+
+
+_MONTHS = """c AS (SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS month, count(*) AS n, avg(o_totalprice) AS mean
+      FROM orders GROUP BY 1, 2),
+    k AS (SELECT o_custkey, unnest(generate_series(min(month)::TIMESTAMP, max(month)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month FROM c GROUP BY 1),
+    m AS (SELECT o_custkey, month, coalesce(n, 0)::BIGINT AS n, mean FROM k LEFT JOIN c USING (o_custkey, month))"""
+
+
+@entries.add(f"WITH {_MONTHS} SELECT o_custkey, strftime(month, '%Y-%m') AS month, n, round(mean, 4) AS mean FROM m")
+def orders_per_month(spark, sf_dir):
+    """Orders of every customer in every month from the first to the last, and their mean price."""
+    month = F.date_format("month", "yyyy-MM").alias("month")
+    return _order_months(spark, sf_dir).select("o_custkey", month, "n", F.round("mean", 4).alias("mean"))
+
+
+@entries.add(
+    f"""WITH {_MONTHS}, b AS (SELECT o_custkey, n AS y, cos((month(month) - 1) * pi() / 6) AS p, sin((month(month) - 1) * pi() / 6) AS q FROM m),
+    s AS (SELECT o_custkey, count(*) AS months, avg(y) AS my, avg(p) AS mp, avg(q) AS mq,
+      covar_pop(p, p) AS pp, covar_pop(p, q) AS pq, covar_pop(q, q) AS qq, covar_pop(p, y) AS py, covar_pop(q, y) AS qy FROM b GROUP BY 1),
+    r AS (SELECT *, pp * qq - pq * pq AS d FROM s),
+    w AS (SELECT o_custkey, months, my, mp, mq, CASE WHEN d * months ** 3 > 1e-6 THEN (py * qq - qy * pq) / d END AS c,
+      CASE WHEN d * months ** 3 > 1e-6 THEN (qy * pp - py * pq) / d END AS s FROM r)
+    SELECT o_custkey, months, round(my - c * mp - s * mq, 6) AS level, round(c, 6) AS cosine, round(s, 6) AS sine,
+      round(sqrt(c * c + s * s), 6) AS amplitude FROM w"""
+)
+def order_seasons(spark, sf_dir):
+    """The yearly wave of every customer's orders per month."""
+    found = yearly_wave(_order_months(spark, sf_dir), ["o_custkey"], "n")
+    return found.select("o_custkey", "months", *[F.round(c, 6).alias(c) for c in ("level", "cosine", "sine", "amplitude")])

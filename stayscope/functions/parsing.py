@@ -28,10 +28,14 @@ def parse_days(c: Column | str, strict: bool = False) -> Column:
 
 
 def tag_list(c: Column | str) -> Column:
-    """Entries of a printed list such as ``"[' a ', ' b ']"``, trimmed; empty without any, NULL for NULL."""
+    """Entries of a printed list such as ``"[' a ', \"b\", c]"``, without quotes, trimmed.
+
+    A text of at most two characters has none; NULL for NULL.
+    """
     c = _col(c)
-    entries = F.regexp_extract_all(c, F.lit(r"'([^']*)'"), F.lit(1))
-    return F.transform(entries, lambda tag: F.trim(tag))
+    inside = F.translate(F.regexp_replace(c, r"^\[|\]$", ""), "'\"", "")
+    entries = F.transform(F.split(inside, ", "), lambda tag: F.trim(tag))
+    return F.when(F.length(c) <= 2, F.array().cast("array<string>")).otherwise(entries)
 
 
 def tag_count(c: Column | str) -> Column:

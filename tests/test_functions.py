@@ -32,6 +32,9 @@ def test_tags(spark):
     data = ["[' Leisure trip ', ' Couple ']", "[]", "", None]
     assert values(spark, data, "string", fn.tag_count("c")) == [2, 0, 0, None]
     assert values(spark, data, "string", fn.tag_list("c")) == [["Leisure trip", "Couple"], [], [], None]
+    data = ["""["Couple's trip", 'Leisure']""", "[a, b]", "[ 'one' ]", "''", "ab", "['', 'x']"]
+    assert values(spark, data, "string", fn.tag_count("c")) == [2, 2, 1, 0, 0, 2]
+    assert values(spark, data, "string", fn.tag_list("c")) == [["Couples trip", "Leisure"], ["a", "b"], ["one"], [], [], ["", "x"]]
 
 
 def test_words(spark):
