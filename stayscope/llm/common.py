@@ -59,6 +59,13 @@ def first_by_hash(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
     return near.orderBy(h, *keys).limit(rows)
 
 
+def under_safe_names(docs: DataFrame, work: Callable[[DataFrame], DataFrame], known: Sequence[str] = ("doc_id", "text")) -> DataFrame:
+    """Rows that `work` keeps of `docs`, whose other columns it meets under names that clash with nothing."""
+    safe = {c: c if c in known else f"carried_column_{i}" for i, c in enumerate(docs.columns)}
+    found = work(docs.select(*[F.col(f"`{c}`").alias(name) for c, name in safe.items()]))
+    return found.select(*[F.col(name).alias(c) for c, name in safe.items()])
+
+
 def without(df: DataFrame, losers: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """Rows of `df` whose keys (computed per row, NULL equal to NULL) are not among `losers`.
 

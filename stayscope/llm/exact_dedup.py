@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stayscope.llm import fuse
-from stayscope.llm.common import join_groups, lower_az, small_batches, table
+from stayscope.llm.common import join_groups, lower_az, small_batches, table, under_safe_names
 from stayscope.sources.checkpoints import cut_lineage
 
 SHARD_KEYS = 200_000
@@ -125,8 +125,13 @@ def exact_copies(docs: DataFrame, bits: int = 64) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns.
 
-    Rows that share a doc_id are told apart by their text; all others go or stay by doc_id.
+    Rows that share a doc_id are told apart by their text; all others go or stay by doc_id. Other
+    columns may have any name; an empty table gives an empty one.
     """
+    return under_safe_names(docs, _without_copies)
+
+
+def _without_copies(docs: DataFrame) -> DataFrame:
     rows, classes = equal_texts(docs)
     total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
     joined = join_groups(rows, classes, "sha", "group_size", total)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stayscope.llm.common import join_groups, small_batches, table, without
+from stayscope.llm.common import join_groups, small_batches, table, under_safe_names, without
 from stayscope.llm.components import connected
 from stayscope.operators.joins import fits_broadcast
 from stayscope.sources.checkpoints import cut_lineage
@@ -475,8 +475,13 @@ def similar_documents(docs: DataFrame, words: int = WORDS, share: tuple[int, int
 def one_of_each(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """One row of every component of similar documents, that with the smallest doc_id; all columns stay.
 
-    Rows without words all stay. Rows that share a doc_id are told apart by their sets.
+    Rows without words all stay. Rows that share a doc_id are told apart by their sets. Other
+    columns may have any name; an empty table gives an empty one.
     """
+    return under_safe_names(docs, lambda given: _one_of_each(given, words, share))
+
+
+def _one_of_each(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     found = cut_lineage(similar_documents(docs, words, share).where(F.col("node").isNotNull()))
     shared = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = cut_lineage(shared.select(F.col("doc_id").alias("_id")))
