@@ -1,8 +1,8 @@
 """Queries over the test tables, each with its SQL counterpart where it has one."""
 
-from catalogue import enrichment, graphs, learning, predicates, profiles, quality, selection, tables, texts
+from catalogue import enrichment, graphs, growing, learning, predicates, profiles, quality, selection, tables, texts
 
-MODULES = [tables, predicates, quality, enrichment, profiles, texts, graphs, learning, selection]
+MODULES = [tables, predicates, quality, enrichment, profiles, texts, graphs, learning, selection, growing]
 
 
 def queries():
