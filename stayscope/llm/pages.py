@@ -13,9 +13,11 @@ meaning moved from elements to attribute words or left out, so that form counts
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -48,12 +50,14 @@ BREAKOUT = set(
     figure form td th tr tbody""".split()
 )
 CLOSES = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
-    "th": {"td", "th"}, "option": {"option"},
+    "li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "tr": {"p", "tr", "td", "th"},
+    "td": {"p", "td", "th"}, "th": {"p", "td", "th"},
 }
 FENCES = set("table ul ol dl div section article main body aside nav td th li dd form blockquote header footer".split())
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([\w:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+MARK = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*+))")
+COMMENT_END = re.compile(r"--!?>")
+ATTRIBUTE = re.compile(r"""(=?[^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+)))?+""")
+TAG_END = re.compile(rf"(?:[\s/=]++|{ATTRIBUTE.pattern})*+>")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 KINDS = ["text", "nav", "header", "footer", "side", "ad", "notice", "form", "comment"]
@@ -112,81 +116,156 @@ def attribute_kinds(attributes: str) -> int:
     return bits
 
 
+class Tags:
+    """The tags of a page, read once from its start to its end.
+
+    A quote opens a value only right after an equals sign, and only if it is closed again. Where a tag
+    would run to the end of the page, it and all later ones end at the next `>` whatever the quotes.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.pos, self.quotes = source, 0, True
+
+    def next(self) -> tuple[int, bool, str, str] | None:
+        """Start, whether it is an end tag, name ('' of a comment) and attributes; None after the last one."""
+        m = MARK.search(self.source, self.pos)
+        if not m:
+            return None
+        if m[4] is None:
+            end = COMMENT_END.search(self.source, m.start() + 2) if m[1] else None
+            self.pos = end.end() if end else 0 if m[1] else self.source.find(">", m.end()) + 1
+            self.pos = self.pos or len(self.source)
+            return m.start(), False, "", ""
+        tail = TAG_END.match(self.source, m.end()) if self.quotes else None
+        self.quotes = tail is not None
+        self.pos = tail.end() if tail else self.source.find(">", m.end()) + 1
+        if not self.pos:  # cut off; without attributes it may as well be text
+            self.pos = len(self.source)
+            return None if not m[3] and "=" not in self.source[m.end() :] else (m.start(), False, "", "")
+        return m.start(), bool(m[3]), m[4].lower(), self.source[m.end() : self.pos - 1]
+
+    def skip_past(self, tag: str) -> None:
+        """Go on after the end tag of an element whose content is not markup, or at the end of the page."""
+        close = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I).search(self.source, self.pos)
+        self.pos = close.end() if close else len(self.source)
+
+
+class Open:
+    """Open elements with the block node each is in, and where among them the ones of a name or kind are.
+
+    Every question is answered from these places, so a page takes linear time however deep it nests.
+    """
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("html", 0)]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.fences: list[int] = []
+        self.holders: list[int] = []
+        self.block = self.unseen = self.foreign = 0
+
+    def push(self, tag: str, node: int) -> None:
+        """Open an element."""
+        place = len(self.stack)
+        self.stack.append((tag, node))
+        self.places[tag].append(place)
+        if tag in FENCES or tag in FOREIGN:
+            self.fences.append(place)
+        if tag in HOLDERS:
+            self.holders.append(place)
+        self.unseen += tag in UNSEEN
+        self.foreign += tag in FOREIGN
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all in it."""
+        while len(self.stack) > place:
+            tag, _ = self.stack.pop()
+            self.places[tag].pop()
+            for kind in (self.fences, self.holders):
+                if kind and kind[-1] == len(self.stack):
+                    kind.pop()
+            self.unseen -= tag in UNSEEN
+            self.foreign -= tag in FOREIGN
+            self.block += tag in BLOCK
+
+    def close(self, tag: str) -> None:
+        """An end tag: it closes the last element of its name, if any."""
+        if self.places[tag]:
+            self.cut(self.places[tag][-1])
+        elif tag in BLOCK:
+            self.block += 1
+
+    def leave_foreign(self) -> None:
+        """HTML in svg or math, outside of elements that hold it, ends these."""
+        if not self.holders or self.holders[-1] < max(self.places[t][-1] for t in FOREIGN if self.places[t]):
+            self.cut(min(self.places[t][0] for t in FOREIGN if self.places[t]))
+
+    def make_room(self, tag: str) -> None:
+        """A block ends paragraphs, and its own kind, up to the next element that these can't reach out of."""
+        ended = CLOSES.get(tag, {"p"})
+        if not any(self.places[t] for t in ended):
+            return
+        fence = next((i for i in reversed(self.fences) if self.stack[i][0] not in ended), 0)
+        lowest = [bisect.bisect(self.places[t], fence) for t in ended]
+        places = [self.places[t][i] for t, i in zip(ended, lowest, strict=True) if i < len(self.places[t])]
+        if places:
+            self.cut(min(places))
+
+
+def closes_itself(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is not the end of a bare value."""
+    if not attributes.endswith("/"):
+        return False
+    last = attributes.rsplit(None, 1)[-1]
+    return "=" not in last or last[-2:-1] in ("'", '"')
+
+
 def parse(source: str, label: Callable[[str, str], int | None] | None = None) -> Page:
     """Read a page as browsers do in the main: unclosed elements end where they must, nothing fails."""
     nodes = [Node("html", -1, 0, 0)]
     runs: list[tuple[int, int, bool, str]] = []
-    stack: list[tuple[str, int]] = [("html", 0)]  # open elements and the block node they are in
-    block, unseen, links, foreign, pos, n = 0, 0, 0, 0, 0, len(source)
-
-    def pop() -> None:
-        nonlocal unseen, links, foreign, block
-        tag, _ = stack.pop()
-        unseen -= tag in UNSEEN
-        links -= tag == "a"
-        foreign -= tag in FOREIGN
-        block += tag in BLOCK
-
-    while pos < n:
-        m = TAG.search(source, pos)
-        end = m.start() if m else n
-        if end > pos and not unseen:
-            text = source[pos:end]
+    tags, at = Tags(source), Open()
+    start = 0
+    while start < len(source):
+        found = tags.next()
+        end = found[0] if found else len(source)
+        if end > start and not at.unseen:
+            text = source[start:end]
             if not text.isspace():
-                runs.append((stack[-1][1], block, links > 0, text))
-            elif runs and runs[-1][1] == block:  # a gap between two inline elements
+                runs.append((at.stack[-1][1], at.block, bool(at.places["a"]), text))
+            elif runs and runs[-1][1] == at.block and not runs[-1][3][-1].isspace():  # a gap between inline elements
                 runs[-1] = (*runs[-1][:3], runs[-1][3] + " ")
-        if not m:
+        if not found:
             break
-        pos = m.end()
-        if m[2] is None:
+        _, closing, tag, attributes = found
+        start = tags.pos
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            open_tags = [t for t, _ in stack]
-            if tag in open_tags[1:]:
-                while stack[-1][0] != tag:
-                    pop()
-                pop()
-            elif tag in BLOCK:
-                block += 1
+        if closing:
+            at.close(tag)
             continue
-        if foreign and m[3].endswith("/") and tag not in BREAKOUT:
+        alone = closes_itself(attributes)
+        if at.foreign and alone and tag not in BREAKOUT:
             continue
-        if foreign and tag in BREAKOUT:
-            i = max(i for i, (t, _) in enumerate(stack) if t in FOREIGN)
-            if not any(t in HOLDERS for t, _ in stack[i:]):
-                while foreign:
-                    pop()
+        if at.foreign and tag in BREAKOUT:
+            at.leave_foreign()
         if tag in BLOCK and tag != "br":
-            for i in range(len(stack) - 1, 0, -1):
-                name = stack[i][0]
-                if name == "p" or name in CLOSES.get(tag, ()):
-                    while len(stack) > i:
-                        pop()
-                    if name == "p":
-                        continue
-                elif name in FENCES or name in FOREIGN:
-                    break
-        block += tag in BLOCK
+            at.make_room(tag)
+        at.block += tag in BLOCK
         if tag in VOID:
             continue
-        at = stack[-1][1]
         if tag in RAW:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(source, pos)
-            pos = close.end() if close else n
+            tags.skip_past(tag)
+            start = tags.pos
             continue
-        if tag in BLOCK and tag not in ("html", "body"):
-            own = label(tag, m[3]) if label else None
-            nodes.append(Node(tag, at, nodes[at].depth + 1, attribute_kinds(m[3]) if m[3] else 0, own))
-            at = len(nodes) - 1
         if tag in ("html", "body"):
             continue
-        if not m[3].endswith("/") or tag in BLOCK:
-            stack.append((tag, at))
-            unseen += tag in UNSEEN
-            links += tag == "a"
-            foreign += tag in FOREIGN
+        node = at.stack[-1][1]
+        if tag in BLOCK:
+            own = label(tag, attributes) if label else None
+            nodes.append(Node(tag, node, nodes[node].depth + 1, attribute_kinds(attributes) if attributes else 0, own))
+            node = len(nodes) - 1
+        if not alone or tag in BLOCK:
+            at.push(tag, node)
     return Page(nodes, [(a, b, c, html.unescape(t) if "&" in t else t) for a, b, c, t in runs])
 
 
@@ -339,10 +418,11 @@ def meaning(tag: str, attributes: str) -> int | None:
     """What an element tells by itself: 1 article, 0 something else."""
     if 'data-keep="' in attributes:
         return int(attributes.split('data-keep="')[1][0])
-    if tag in ("article", "main"):
-        return 1
     bits = attribute_kinds(attributes)
-    return 0 if tag in ("nav", "footer", "aside", "form") or bits & 0b111111110 and not bits & 1 else None
+    other = bits & 0b111111110 and not bits & 1
+    if tag == "main" or tag == "article" and not other:
+        return 1
+    return 0 if tag in ("nav", "footer", "aside", "form") or other else None
 
 
 def relaid(page: Page, pick: np.random.Generator) -> str | None:
@@ -357,14 +437,15 @@ def relaid(page: Page, pick: np.random.Generator) -> str | None:
         if good and page.nodes[node].tag.startswith("h"):
             heading = heading or text
         elif good and block == last:
-            paragraphs[-1] += " " + text
+            paragraphs[-1].append(text)
         elif good:
-            paragraphs.append(text)
+            paragraphs.append([text])
             last = block
         else:
             other.append(text)
     if not paragraphs:
         return None
+    paragraphs = [" ".join(p) for p in paragraphs]
     source = " ".join(other + paragraphs[-1:]).split()
     if pick.random() < 0.3:
         paragraphs = paragraphs[: pick.integers(1, 3)]
@@ -394,11 +475,23 @@ def relaid(page: Page, pick: np.random.Generator) -> str | None:
             t = " ".join(cut)
         return one([f"<p>{t}</p>", f"<p>{t}</p>", f"<p>{t}</p>", f"<p>{t}", f"<div>{t}</div>", f"<blockquote><p>{t}</p></blockquote>", f"<ul><li>{t}</li><li>{one(paragraphs)[:80]}</li></ul>"])
 
+    def short() -> str:
+        cells = lambda t, n: "".join(f"<{t}>{some(pick.integers(1, 3))}</{t}>" for _ in range(n))
+        rows = "".join(f"<tr>{cells('td', 2)}</tr>" for _ in range(pick.integers(1, 4)))
+        return one([
+            f"<pre>{some(pick.integers(1, 7))}</pre>", f"<pre><code>{some(pick.integers(1, 7))}</code></pre>",
+            f"<table>{rows}</table>", f"<table><tbody><tr>{cells('th', 2)}</tr>{rows}</tbody></table>",
+            f"<h{(h := pick.integers(2, 5))}>{some(pick.integers(1, 5))}</h{h}>", f"<p>{some(pick.integers(1, 4))}</p>",
+            f"<ul>{cells('li', pick.integers(1, 5))}</ul>", f"<ol>{cells('li', pick.integers(1, 5))}</ol>",
+            f"<dl><dt>{some(1)}</dt><dd>{some(pick.integers(1, 5))}</dd></dl>", f"<blockquote>{some(pick.integers(2, 9))}</blockquote>",
+            f'<figure><img src="a.png"><figcaption>{some(pick.integers(2, 7))}</figcaption></figure>',
+        ])
+
     def extra(kind: str) -> str:
         return {
             "nav": lambda: named("nav", ["nav", "div", "ul", "div"], links(pick.integers(3, 9))),
             "header": lambda: named("header", ["header", "div"], f'<div class="logo"><a href="/">{some(2)}</a></div><p>{some(5)}</p>' + (links(4) if maybe(0.5) else "")),
-            "footer": lambda: named("footer", ["footer", "div"], one(["&copy; ", ""]) + some(8) + (links(4) if maybe(0.5) else "") + (f"<p>{some(12)}</p>" if maybe(0.5) else "")),
+            "footer": lambda: named("footer", ["footer", "div"], one(["&copy; ", ""]) + some(pick.integers(2, 9)) + (links(4) if maybe(0.5) else "") + (f"<p>{some(12)}</p>" if maybe(0.5) else "")),
             "side": lambda: named("side", ["aside", "div", "section"], f"<h3>{some(2)}</h3>" + one([links(5), f"<p>{some(20)}</p>", f"<p>{some(9)}</p>" + links(3)])),
             "ad": lambda: named("ad", ["div", "aside", "section"], one([some(6), f"<p>{some(14)}</p>", f'<a href="#">{some(8)}</a>'])),
             "notice": lambda: named("notice", ["div", "section", "p"], f"{some(18)} <button>{some(1)}</button>"),
@@ -408,6 +501,8 @@ def relaid(page: Page, pick: np.random.Generator) -> str | None:
         }[kind]()
 
     body = [para(t) for t in paragraphs]
+    for _ in range(pick.integers(1, 5) if maybe(0.4) else 0):
+        body.insert(pick.integers(len(body) + 1), short())
     for kind in ("ad", "side", "notice", "form"):
         if maybe(0.15):
             body.insert(pick.integers(len(body) + 1), extra(kind))
