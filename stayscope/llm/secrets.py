@@ -1,14 +1,17 @@
 """Secret scan: fixed patterns, and assignments read as name-literal pairs with constants followed.
 
 Every `:`, `=`, `:=` or `=>` of a text may bind a name before it to what comes after: literals,
-other names, or a sum of both. Names are followed to the literals that reach them, in any order of
+other names, sums of both and what stands in brackets, also on later lines. Names in a row take values
+in a row by place, and an element's `key` or `name` attribute its `value`. Names are followed to the literals that reach them, in any order of
 the statements, and a literal is scored by the most telling name it reaches and by how random it
 looks. Literals over the threshold are added to the spans of the fixed patterns.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter, defaultdict
@@ -34,7 +37,18 @@ PART = re.compile(
     r"""|"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)"""
     r"""|([A-Za-z_$][\w.$]*)(?![\w+/=-])|([A-Za-z0-9+/_.=-]+))"""
 )
-PLUS = re.compile(r"[ \t]*[+.][ \t]*(?=[\"'`A-Za-z_$])")
+PLUS = re.compile(
+    r"""[ \t]*+(?:\\\n[ \t]*+)?(?:(?:[+.]|\|\||\?\?)[ \t]*+(?:\\?\n[ \t]*+)?(?=["'`A-Za-z_$])|or[ \t]++(?=["']))"""
+)
+NEXT_LINE = re.compile(r"[ \t]*+\\?\r?\n[ \t]*+(?=[\"'`])")
+BLANKS = re.compile(r"[ \t]*+")
+GAP = re.compile(r"(?:\s++|#[^\n]*+|//[^\n]*+)*+")
+ROW_BACK = re.compile(r"[ \t]*+,[ \t]*+([\w.$-]++)")
+ROW_START = re.compile(r"(?:.*;)?\s*+(?:let|var|const|local|my)?\s*+", re.S)
+KEYWORD = re.compile(r"[\w.$-]++\s*+(?:=>|:=|=(?!=)|:(?![:/=]))")
+NAME_LIKE = re.compile(r"[A-Z][A-Z0-9_]*+|[a-z][a-z_.-]*+")
+ELEMENT = re.compile(r"""<[A-Za-z][\w:.-]*+((?:\s++[\w:.-]++\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'))++)\s*+/?>""")
+PAIR = re.compile(r"""([\w:.-]++)\s*+=\s*+(?:"([^"<>]*+)"|'([^'<>]*+)')""")
 PIECE = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 NAME_WEIGHTS = {
@@ -42,7 +56,7 @@ NAME_WEIGHTS = {
     "credential": 0.9, "credentials": 0.9, "auth": 0.8, "authorization": 0.8, "bearer": 0.8, "signature": 0.7, "salt": 0.6,
 }
 KEY_KINDS = {"api", "access", "private", "signing", "encryption", "secret", "master", "account", "service"}
-PLACEHOLDERS = re.compile(r"x{4,}|\*{3,}|<.*>|\$\{.*\}|%\(.*\)s|change_?me|example|placeholder|your[_-]", re.I)
+PLACEHOLDERS = re.compile(r"x{4,}|\*{3,}|<[^<>]*+>|\$\{(?:[^}$]|\$(?!\{))*+\}|%\([^()]*+\)s|change_?me|example|placeholder|your[_-]", re.I)
 THRESHOLD = 0.6
 SHORTEST = 8
 
@@ -76,32 +90,105 @@ def strength(literal: str) -> float:
     return min(1.0, bits / 64 + 0.3)
 
 
+def sum_at(text: str, pos: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]], int]:
+    """Literals and names of the sum that starts here, and where it ends."""
+    literals, names = [], []
+    while part := PART.match(text, pos):
+        group = part.lastindex
+        if group == 6:
+            names.append(part.span(6))
+        elif group <= 2:  # lines of a literal in three quotes: without the white space around them
+            inside = part[group].removeprefix("\\\n")
+            a = part.end(group) - len(inside.lstrip())
+            literals.append((a, a + len(inside.strip())))
+        else:
+            literals.append(part.span(group))
+        pos = part.end()
+        if not (plus := PLUS.match(text, pos)):
+            break
+        pos = plus.end()
+    return literals, names, pos
+
+
+def value_at(text: str, pos: int, places: int) -> tuple[list[tuple[list, list]], int]:
+    """(literals, names) of each of at most `places` values in a row from here, and where reading stopped.
+
+    What stands in brackets belongs to its value; of a call's arguments, names in quotes don't count.
+    Reading stops at what binds another name.
+    """
+    line = NEXT_LINE.match(text, pos)
+    pos = line.end() if line else pos
+    values, calls, within = [([], [])], [], 0  # which open brackets are calls, and how many
+    while True:
+        gap = GAP if calls else BLANKS
+        pos = gap.match(text, pos).end()
+        if (calls or len(values) > 1) and KEYWORD.match(text, pos):
+            break
+        literals, names, after = sum_at(text, pos)
+        if (calls or len(values) > 1) and BIND.match(text, gap.match(text, after).end()):
+            break
+        call = bool(names) and names[-1][1] == after and text.startswith("(", after)
+        if call:
+            names.pop()
+        if within:
+            literals = [(a, b) for a, b in literals if not NAME_LIKE.fullmatch(text, a, b)]
+        values[-1][0].extend(literals)
+        values[-1][1].extend(names)
+        idle, pos = after == pos, gap.match(text, after).end()
+        sign = text[pos : pos + 1]
+        if call or idle and sign and sign in "([":
+            calls.append(call)
+            within += call
+            pos += 1
+            continue
+        closed = False
+        while calls and sign and sign in ")]":
+            within -= calls.pop()
+            closed = True
+            pos = (GAP if calls else BLANKS).match(text, pos + 1).end()
+            sign = text[pos : pos + 1]
+        plus = PLUS.match(text, pos) if closed else None
+        if plus:
+            pos = plus.end()
+        elif sign == "," and (calls or len(values) < places):
+            pos += 1
+            if not calls:
+                values.append(([], []))
+        elif not calls or idle and not closed:
+            break
+    return values, pos
+
+
 def bindings(text: str) -> list[tuple[str, list[tuple[int, int]], list[tuple[int, int]]]]:
     """(name, spans of its literals, spans of the names it is made of) of every assignment."""
-    found, back = [], 0
+    found, back, read = [], 0, 0
     for m in BIND.finditer(text):
         at = max(text.rfind("\n", back, m.start()) + 1, back)
-        name = NAME_BACK.match(text[at : m.start()][::-1])
+        before = text[at : m.start()][::-1]
+        name = NAME_BACK.match(before)
         back = m.end()
         if not name or not name[1]:
             continue
-        literals, names, pos = [], [], m.end()
-        while part := PART.match(text, pos):
-            group = part.lastindex
-            if group == 6:
-                names.append(part.span(6))
-            elif group <= 2:  # lines of a literal in three quotes: without the white space around them
-                inside = part[group].removeprefix("\\\n")
-                a = part.end(group) - len(inside.lstrip())
-                literals.append((a, a + len(inside.strip())))
-            else:
-                literals.append(part.span(group))
-            pos = part.end()
-            if not (plus := PLUS.match(text, pos)):
-                break
-            pos = plus.end()
-        if literals or names:
-            found.append((name[1][::-1], literals, names))
+        targets, end = [name[1][::-1]], name.end()
+        while m[0] in ("=", ":=") and (more := ROW_BACK.match(before, end)):  # names in a row, the last one first
+            targets.append(more[1][::-1])
+            end = more.end()
+        if len(targets) > 1 and not ROW_START.fullmatch(before[end:][::-1]):
+            targets = targets[:1]
+        if m.start() < read:  # inside of brackets that were read for another name
+            values = [sum_at(text, m.end())[:2]]
+        else:
+            values, read = value_at(text, m.end(), len(targets))
+        if len(values) < len(targets):
+            targets = targets[:1]
+        for target, (literals, names) in zip(reversed(targets), values, strict=False):
+            if literals or names:
+                found.append((target, literals, names))
+    for m in ELEMENT.finditer(text) if "<" in text else ():
+        pairs = {p[1].lower(): p for p in PAIR.finditer(text, m.start(1), m.end(1))}
+        key, value = pairs.get("key") or pairs.get("name"), pairs.get("value")
+        if key and value:
+            found.append((key[key.lastindex], [value.span(value.lastindex)], []))
     return found
 
 
@@ -142,7 +229,9 @@ def scan_text(text: str | None, threshold: float = THRESHOLD):
     """Counts of the three base kinds, digest of the base spans, all spans as text."""
     text = text or ""
     base = base_spans(text)
-    more = [s for s in literal_spans(text, threshold) if not any(b[0] <= s[0] and s[2] <= b[2] for b in base)]
+    reached = list(itertools.accumulate((b[2] for b in base), max, initial=0))  # how far the first ones go
+    starts = [b[0] for b in base]
+    more = [s for s in literal_spans(text, threshold) if reached[bisect.bisect(starts, s[0])] < s[2]]
     named = [f"{KINDS[k]}:{a}:{b}" for a, k, b in base]
     counts = Counter(k for _, k, _ in base)
     spans = [f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(base + more)]
@@ -153,7 +242,9 @@ def scan_text(text: str | None, threshold: float = THRESHOLD):
 def find_secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of `docs` (doc_id, text): counts, base_sha256 and spans, in code points, end exclusive.
 
-    NULL and empty texts have no spans. Rows stay where they are; whole texts are read.
+    NULL and empty texts have no spans, repeated rows stay and an empty table gives an empty one. Rows stay
+    where they are; whole texts are read, each in time that grows with its length alone. Other columns of
+    `docs` are not read, whatever their names.
     """
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
