@@ -18,7 +18,7 @@ from stayscope.operators.features import assemble, project_2d
 from stayscope.operators.sampling import hash_split
 from stayscope.operators.tokens import labelled_texts
 from stayscope.plans import reviews as R
-from stayscope.sources import cut_lineage, save_checkpoint, shared_folder
+from stayscope.sources import cut_lineage, even_rows, save_checkpoint, shared_folder
 from stayscope.streaming import negative_alerts, score_stream
 
 entries = Entries()
@@ -350,7 +350,7 @@ def hotels_in_two_dimensions(spark, sf_dir):
 def review_segments(spark, sf_dir):
     """Size of four segments of single reviews, missing counts as 0."""
     df = R.tokenised(R.typed(R.repair(raw_reviews(spark, sf_dir))))
-    rows = C.segment(cut_lineage(df.select(*R.REVIEW_SEGMENT_FEATURES)), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
+    rows = C.segment(even_rows(cut_lineage(df.select(*R.REVIEW_SEGMENT_FEATURES))), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
     return group_counts(rows, ["cluster"])
 
 
@@ -359,7 +359,7 @@ def reviews_in_segments(spark, sf_dir):
     """Segmented reviews in all, and the number of segments."""
     df = R.tokenised(R.typed(R.repair(raw_reviews(spark, sf_dir))))
     used = list(dict.fromkeys([*R.REVIEW_SEGMENT_FEATURES, "Reviewer_Score"]))
-    rows = C.segment(cut_lineage(df.select(*used)), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
+    rows = C.segment(even_rows(cut_lineage(df.select(*used))), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
     return rows.agg(
         F.count("cluster").alias("n"), F.countDistinct("cluster").alias("clusters"),
         F.count_if(F.col("Reviewer_Score").isNull()).alias("without_score"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+ROWS_PER_TASK = 2_000_000
 
 
 def _header_order(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> T.StructType:
@@ -66,6 +67,16 @@ def spread_rows(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def even_rows(scan: DataFrame, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal out the rows of a plain file scan if its splits hold more than `rows` each on average.
+
+    Files are split by their compressed bytes, and a few small whole numbers per row take few, so
+    one split may hold tens of millions of rows that a task then keeps as vectors.
+    """
+    tasks = -(-scan.count() // rows)
+    return scan.repartition(tasks) if tasks > scan.rdd.getNumPartitions() else scan
+
+
 def head_rows(df: DataFrame, n: int, order_by: Sequence[Column | str]) -> DataFrame:
     """First `n` rows in a stated order."""
     return df.orderBy(*order_by).limit(n)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from catalogue import learning
+from stayscope.operators import cluster as C
 from stayscope.operators import joins as J
-from stayscope.sources import cut_lineage
+from stayscope.sources import cut_lineage, even_rows, tables
 
 
 def _plan(df):
@@ -19,3 +21,31 @@ def test_a_table_beyond_the_limit_is_never_broadcast(spark):
         assert "SortMergeJoin" in _plan(joined) and "Broadcast" not in _plan(joined)
         assert sorted(map(tuple, joined.collect())) == sorted((i % 50, i, i % 50 * 2) for i in range(200))
         assert "BroadcastHashJoin" in _plan(J.attach(df, table, "k", how))
+
+
+def test_no_split_keeps_more_rows_than_allowed(spark):
+    scan = cut_lineage(spark.range(1000).selectExpr("id", "id % 3 AS x").coalesce(1))
+    dealt = even_rows(scan, 100)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 10 and max(sizes) <= 150
+    assert sorted(map(tuple, dealt.collect())) == [(i, i % 3) for i in range(1000)]
+    assert even_rows(scan, 1000).rdd.getNumPartitions() == scan.rdd.getNumPartitions()
+
+
+def test_reviews_are_dealt_out_before_they_are_segmented(spark, monkeypatch):
+    reviews = spark.range(900).select(*[(F.col("id") % (i + 5)).cast("int").alias(c) for i, c in enumerate(learning.R.REVIEW_SEGMENT_FEATURES)])
+    seen = []
+
+    def segmented(df, *_, **__):
+        seen.append(df.rdd.getNumPartitions())
+        return df.withColumn("cluster", F.lit(0))
+
+    monkeypatch.setattr(learning.R, "tokenised", lambda df: reviews.withColumn("Reviewer_Score", F.lit(1.0)).coalesce(1))
+    monkeypatch.setattr(learning.R, "typed", lambda df: df)
+    monkeypatch.setattr(learning.R, "repair", lambda df: df)
+    monkeypatch.setattr(learning, "raw_reviews", lambda *_: None)
+    monkeypatch.setattr(C, "segment", segmented)
+    monkeypatch.setattr(learning, "even_rows", lambda scan: even_rows(scan, 100))
+    learning.review_segments(spark, "")
+    learning.reviews_in_segments(spark, "")
+    assert seen == [9, 9] and tables.ROWS_PER_TASK <= 2_000_000
