@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayscope.sources import spread_rows
-
 
 class Entries:
     """Queries of one module and the SQL that must give the same rows."""
@@ -73,19 +71,20 @@ RAW_COLUMNS = {
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as hotel reviews: the part is the hotel, the customer the guest."""
+    """Order lines as hotel reviews: the part is the hotel, the customer the guest.
+
+    Guests join the orders, so the lines move twice, for their order and their part, and names of
+    nations come last. The merge with the orders also deals the lines out, however few splits they have.
+    """
     nation = table(spark, sf_dir, "nation")
     guest = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("guest_nation"))
     place = nation.select(F.col("n_nationkey").alias("_place"), F.col("n_name").alias("hotel_nation"))
     part = table(spark, sf_dir, "part").withColumn("_place", (F.col("p_partkey") % 25).cast("int"))
-    customer = table(spark, sf_dir, "customer").join(guest, "c_nationkey")
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
-    lines = spread_rows(table(spark, sf_dir, "lineitem")).withColumnRenamed("l_partkey", "p_partkey")
-    rows = (
-        lines.join(orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
-        .join(customer, "c_custkey")
-        .join(part.join(place, "_place"), "p_partkey")
-    )
+    orders = table(spark, sf_dir, "orders").withColumnsRenamed({"o_custkey": "c_custkey", "o_orderkey": "l_orderkey"})
+    ordered = orders.join(table(spark, sf_dir, "customer"), "c_custkey")
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    rows = lines.join(ordered.hint("merge"), "l_orderkey").join(part, "p_partkey")
+    rows = rows.join(F.broadcast(guest), "c_nationkey").join(F.broadcast(place), "_place")
     rows = rows.withColumn("l_partkey", F.col("p_partkey"))
     date = F.date_format("o_orderdate", "M/d/yyyy").alias("Review_Date")
     return rows.select(*[F.expr(e).alias(c) for c, e in RAW_COLUMNS.items()], date)

@@ -42,7 +42,8 @@ _SUFFIX = """(SELECT arg_min('N' || CAST(n_nationkey AS VARCHAR), n_nationkey) F
 def reviews_per_country(spark, sf_dir):
     """Reviews and hotels per country, found by the end of the address."""
     lookup = nation_lookup(spark, sf_dir)
-    df = suffix_lookup(typed_reviews(spark, sf_dir), "Hotel_Address", lookup, "name", "ISO", "ord")
+    hotels = cut_lineage(typed_reviews(spark, sf_dir).select("Hotel_Address", "Hotel_Name"))  # read twice
+    df = suffix_lookup(hotels, "Hotel_Address", lookup, "name", "ISO", "ord")
     per_hotel = df.groupBy("Country", "Hotel_Name").agg(F.count(F.lit(1)).alias("n"))
     return per_hotel.groupBy("Country").agg(
         F.sum("n").alias("n_reviews"), F.count("Hotel_Name").alias("n_hotels")
