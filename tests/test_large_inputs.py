@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from catalogue import learning
-from catalogue.base import raw_reviews
+from catalogue import enrichment, learning
 from stayscope.operators import cluster as C
 from stayscope.operators import joins as J
 from stayscope.sources import cut_lineage, even_rows, tables
@@ -52,22 +51,19 @@ def test_reviews_are_dealt_out_before_they_are_segmented(spark, monkeypatch):
     assert seen == [9, 9] and tables.ROWS_PER_TASK <= 2_000_000
 
 
-def test_lines_meet_orders_that_have_their_guests(spark, tmp_path):
-    tables = {
-        "nation": "SELECT 0 AS n_nationkey, 'PERU' AS n_name",
-        "customer": "SELECT 1L AS c_custkey, 0 AS c_nationkey, 'BUILDING' AS c_mktsegment",
-        "part": "SELECT 25L AS p_partkey, 'blue mint' AS p_name, 'Brand#1' AS p_brand, 'TIN' AS p_type, 4 AS p_size",
-        "orders": "SELECT 7L AS o_orderkey, 1L AS o_custkey, '1-URGENT' AS o_orderpriority, DATE'1995-01-02' AS o_orderdate",
-        "lineitem": "SELECT 7L AS l_orderkey, 25L AS l_partkey, 1L AS l_suppkey, 1 AS l_linenumber, 10.0D AS l_quantity",
-    }
-    for name, sql in tables.items():
-        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = raw_reviews(spark, str(tmp_path))
-        plan = _plan(df)
-        assert [(r.Hotel_Address, r.Reviewer_Nationality, r.Review_Date) for r in df.collect()] == [("Brand#1 Street 4 PERU", " PERU ", "1/2/1995")]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert [next(k for k in ("p_partkey", "l_orderkey", "c_custkey") if k in line) for line in joins] == ["p_partkey", "l_orderkey", "c_custkey"]
+def test_reviews_per_country_makes_the_reviews_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            made.add(1)
+            yield row
+
+    reviews = spark.createDataFrame([(f"Street {i} PERU", f"hotel{i % 4}") for i in range(40)], "Hotel_Address string, Hotel_Name string")
+    schema = reviews.schema
+    monkeypatch.setattr(enrichment, "typed_reviews", lambda *_: spark.createDataFrame(reviews.rdd.mapPartitions(counted), schema))
+    nations = spark.createDataFrame([("N1", "Peru", 1)], "ISO string, name string, ord int")
+    monkeypatch.setattr(enrichment, "nation_lookup", lambda *_: nations)
+    got = enrichment.reviews_per_country(spark, "").collect()
+    assert [tuple(r) for r in got] == [("N1", 40, 4)]
+    assert made.value == 40
