@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from catalogue import enrichment, learning
+from catalogue import enrichment, graphs, learning
 from stayscope.operators import cluster as C
 from stayscope.operators import joins as J
 from stayscope.sources import cut_lineage, even_rows, tables
@@ -67,3 +67,18 @@ def test_reviews_per_country_makes_the_reviews_once(spark, monkeypatch):
     got = enrichment.reviews_per_country(spark, "").collect()
     assert [tuple(r) for r in got] == [("N1", 40, 4)]
     assert made.value == 40
+
+
+def test_edges_move_only_the_columns_they_are_made_of(spark, monkeypatch):
+    texts = ["Hotel_Address", "Negative_Review", "Positive_Review", "days_since_review"]
+    rows = [("A", " ", "t", 3, 7.0, "1/2/2020", "x"), ("A", None, "t", 3, 8.0, "1/2/2020", "y"), ("A", " ", "t", 3, 9.0, "1/1/2020", "z"), ("B", "N", "t", 3, 5.0, None, "x")]
+    raw = spark.createDataFrame(
+        rows, "Hotel_Name string, Reviewer_Nationality string, Tags string, Total_Number_of_Reviews_Reviewer_Has_Given int, "
+        "Reviewer_Score double, Review_Date string, Negative_Review string",
+    )
+    raw = raw.withColumns({c: F.col("Negative_Review") for c in texts if c != "Negative_Review"}).withColumn("Average_Score", F.lit(4.0))
+    monkeypatch.setattr(graphs, "raw_reviews", lambda *_: raw)
+    found = graphs.guest_hotel_edges(spark, "")
+    assert sorted(map(tuple, found.collect())) == [("N_t_3", "B", 5.0), ("t_3", "A", 8.0)]
+    assert not any(c in _plan(found).split("Scan ExistingRDD")[0] for c in texts)
+    assert sorted(map(tuple, graphs.scores_of_top_hotels(spark, "").collect())) == [("A", 4.0), ("B", 4.0)]
