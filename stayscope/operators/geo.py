@@ -10,6 +10,7 @@ from stayscope.operators.joins import attach
 from stayscope.sources.checkpoints import cut_lineage
 
 LISTED_CELLS = 64
+ROUNDING = 1e-9  # of where an outline is crossed, as a share of its coordinates
 
 
 def suffix_lookup(
@@ -79,7 +80,8 @@ def point_lookup(
     outline, under the grid cells that its box touches: cells of size `cell` times the smallest power
     of two at which there are at most `listed_cells`, so a region of any size and unit has a
     bounded list. Points look in one cell of each size that occurs, and candidates meet by an
-    equality join; outlines come last. Only distinct points are looked up.
+    equality join, which keeps those whose box holds the point; outlines come last. Only distinct
+    points are looked up, by as many tasks as a shuffle has: their few bytes say little of the work.
     """
 
     def extent(field: str) -> tuple[Column, Column]:
@@ -99,13 +101,19 @@ def point_lookup(
     def at(value: Column | str) -> Column:
         return F.floor(F.col(value) / (F.pow(F.lit(2.0), F.col("_level")) * cell)).cast("long")
 
-    listed = shapes.select("_region", "_level", F.explode(F.sequence(at("_x0"), at("_x1"))).alias("_cx"), "_y0", "_y1")
-    listed = listed.select("_region", "_level", "_cx", F.explode(F.sequence(at("_y0"), at("_y1"))).alias("_cy"))
+    def held(value: str, low: str, high: str) -> Column:
+        spare = F.greatest(F.abs(low), F.abs(high)) * ROUNDING
+        return (F.col(value) >= F.col(low) - spare) & (F.col(value) <= F.col(high) + spare)
+
+    box = ["_x0", "_x1", "_y0", "_y1"]
+    listed = shapes.select("_region", "_level", *box, F.explode(F.sequence(at("_x0"), at("_x1"))).alias("_cx"))
+    listed = listed.withColumn("_cy", F.explode(F.sequence(at("_y0"), at("_y1"))))
     levels = shapes.agg(F.collect_set("_level").alias("l")).scalar()
-    points = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct().repartition(tasks, x, y)
     points = points.withColumn("_level", F.explode(levels)).withColumns({"_cx": at(x), "_cy": at(y)})
-    near = attach(points, cut_lineage(listed), ["_level", "_cx", "_cy"], "inner")
-    near = near.select(x, y, "_region")
+    near = attach(points, cut_lineage(listed), ["_level", "_cx", "_cy"], "inner", tasks=tasks)
+    near = near.where(held(x, "_x0", "_x1") & held(y, "_y0", "_y1")).select(x, y, "_region")
     outlines = shapes.select("_region", "_code", "_vertices")
     found = (
         attach(near, outlines, "_region", "inner")

@@ -33,6 +33,7 @@ def attach(
     on: str | Sequence[str],
     how: str = "left",
     max_broadcast: int = BROADCAST_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Join `table` to `df` on equal column names.
 
@@ -42,7 +43,8 @@ def attach(
     further because no later step relies on the salted partitioning. The two are merged whatever
     size Spark expects: it goes by the compressed file, of which the salted rows are a large
     multiple, and would collect them on the driver. `table` should be cheap to count, as it is
-    after `cut_lineage`.
+    after `cut_lineage`. Narrow rows with very many matches are too much work for the few tasks
+    that their bytes make: `tasks` then says over how many the two are merged.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(table, max_broadcast):
@@ -50,4 +52,6 @@ def attach(
     salt = "_salt"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
     repeated = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if tasks:
+        salted, repeated = (side.repartition(tasks, *on, salt) for side in (salted, repeated))
     return salted.join(repeated.hint("merge"), [*on, salt], how).drop(salt)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from catalogue import enrichment, graphs, learning
 from stayscope.operators import cluster as C
+from stayscope.operators import geo
 from stayscope.operators import joins as J
 from stayscope.sources import cut_lineage, even_rows, tables
 
@@ -82,3 +83,27 @@ def test_edges_move_only_the_columns_they_are_made_of(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == [("N_t_3", "B", 5.0), ("t_3", "A", 8.0)]
     assert not any(c in _plan(found).split("Scan ExistingRDD")[0] for c in texts)
     assert sorted(map(tuple, graphs.scores_of_top_hotels(spark, "").collect())) == [("A", 4.0), ("B", 4.0)]
+
+
+def test_points_meet_only_outlines_whose_box_holds_them(spark, monkeypatch):
+    met = []
+
+    def counted(df, table, on, how="left", **given):
+        if on == "_region":
+            met.append(df.count())
+        return J.attach(df, table, on, how, **given)
+
+    monkeypatch.setattr(geo, "attach", counted)
+    corners = [{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 0.0, "y": 1.0}]
+    regions = spark.createDataFrame([(code, corners) for code in range(20)], "code long, vertices array<struct<x double, y double>>")
+    points = spark.createDataFrame([(1, 0.2, 0.2), (2, 0.9, 0.9), (3, 1.5, 1.5), (4, None, 1.0)], "id long, x double, y double")
+    found = geo.point_lookup(points, "x", "y", regions, "code", cell=2.0, out="code")
+    assert sorted(map(tuple, found.select("id", "code").collect())) == [(1, 0), (2, None), (3, None), (4, None)]
+    assert met == [40]
+
+
+def test_a_merge_of_narrow_rows_is_spread_over_the_tasks_given(spark):
+    table = cut_lineage(spark.range(60).selectExpr("id AS k", "id * 2 AS v"))
+    joined = J.attach(spark.range(200).selectExpr("id % 50 AS k", "id"), table, "k", "inner", max_broadcast=10, tasks=7)
+    assert joined.rdd.getNumPartitions() == 7
+    assert sorted(map(tuple, joined.collect())) == sorted((i % 50, i, i % 50 * 2) for i in range(200))
