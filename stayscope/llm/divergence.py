@@ -6,8 +6,8 @@ share a path of a tree. The sum for a pair of sources starts from what it would
 in either. What changes for terms of one source comes from the histogram of its shares. What
 changes for terms of both is added once per node and ancestor, times the terms below the node.
 
-Rows are dealt in their order, so neighbours share paths; a path cut by the border of a task is two
-paths, whose sums are added up like all others. A task holds one path and its sums, not its tree.
+Rows are dealt in their order, so neighbours share paths; a path cut by the border of a task or batch is two
+paths, whose sums are added up like all others. A task holds the paths of one batch and its sums, not its tree.
 Integers are exact throughout: shares are long, sums decimal.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 CELLS = 2_000_000
+PAIRS = 1 << 20
 SAFE = float(1 << 61)
 PATH_BATCH = 4096
 
@@ -87,85 +89,116 @@ def shares(docs: DataFrame, least_docs: int = LEAST_DOCS) -> tuple[DataFrame, Da
     return terms, groups.select("lang", "source", "rank", "zero", "kinds")
 
 
+def pieces(lengths: np.ndarray, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Borders of a few rows at a time, which have no more than `PAIRS` pairs of items, or are one row."""
+    step = max(1, PAIRS // max(int(lengths[start:stop].max(initial=0)), 1) ** 2)
+    for i in range(start, stop, step):
+        yield i, min(i + step, stop)
+
+
 class PairTree:
-    """The path of a frequent-pattern tree that is open now, and the sums of its closed nodes by pair of sources.
+    """The open paths of a frequent-pattern tree, and the sums of its closed nodes by pair of sources.
 
-    Rows come in order, each a list of (rank, p, zero) with a multiplicity. `flush` gives (rank, other, sum) so far.
-    Sums are 64-bit as long as a bound of their size allows it, then they are put away as Python integers.
+    Rows come in order, each a list of (rank, p, zero) with a multiplicity; rows that are closed together share the
+    nodes of their common beginnings. `flush` gives (rank, other, sum) so far. Sums are 64-bit as long as a bound of
+    their size allows it, then they are put away as Python integers.
     """
 
     def __init__(self):
-        self.items: list[tuple[int, int, int]] = []
-        self.below: list[int] = []  # terms at or under each open node
-        self.sums: dict[int, np.ndarray] = {}  # by node: sums there and back, by ancestor
+        self.open: list[tuple[list[tuple[int, int, int]], int]] = []
+        self.found: list[np.ndarray] = []  # columns: rank, other, sum there, sum back
         self.away: dict[tuple[int, int], int] = defaultdict(int)
-        self.width, self.bound, self.nodes = 64, 0.0, 0
+        self.held, self.bound, self.nodes = 0, 0.0, 0
 
     @property
     def cells(self) -> int:
         """Size of what `flush` would give."""
-        return 2 * self.width * len(self.sums) + len(self.away)
+        return 2 * self.held + len(self.away)
 
     def insert(self, items: list[tuple[int, int, int]], times: int) -> None:
-        """Add a row that occurs `times`; nodes that it has not in common with the one before are closed."""
-        shared = 0
-        for old, new in zip(self.items, items, strict=False):
-            if old != new:
-                break
-            shared += 1
-        self.close(shared)
-        self.items += items[shared:]
-        self.below += [0] * (len(items) - shared)
-        if items:
-            self.below[-1] += times
-
-    def close(self, depth: int = 0) -> None:
-        """Close all open nodes but the first `depth`: each adds its correction with every ancestor once."""
-        items, below, keep, depth = self.items, self.below, depth, max(depth, 1)
-        if len(items) <= depth:
-            self.items, self.below = items[:keep], below[:keep]
-            return
-        for i in range(len(items) - 1, depth - 1, -1):
-            below[i - 1] += below[i]
-        table = np.array(items, dtype=np.int64)
-        ranks, p, p0 = table[:-1].T
-        mine, q, q0 = table[depth:, :, None].transpose(1, 0, 2)
-        times = np.array(below[depth:])
-        there, back = np.zeros((len(q), len(p)), dtype=np.int64), np.zeros((len(q), len(p)), dtype=np.int64)
+        """Add a row that occurs `times`, to be closed with those before it."""
+        self.open.append((items, times))
+
+    def close(self) -> None:
+        """Close the rows that were inserted."""
+        rows, self.open = self.open, []
+        lengths = np.array([len(items) for items, _ in rows], dtype=np.int64)
+        flat = np.array([item for items, _ in rows for item in items], dtype=np.int64).reshape(-1, 3)
+        times, ends = np.array([times for _, times in rows], dtype=np.int64), np.concatenate([[0], np.cumsum(lengths)])
+        for i, j in pieces(lengths, 0, len(rows)):
+            self.close_table(lengths[i:j], flat[ends[i] : ends[j]].T, times[i:j])
+
+    def close_table(self, lengths: np.ndarray, items: np.ndarray, times: np.ndarray) -> None:
+        """Close rows in order: their lengths, the ranks, p and zeros of all their items, and their multiplicities.
+
+        Every node adds its correction with every ancestor once, times the terms at or under it. The rows are laid
+        out as a table with a column per depth.
+        """
+        depths = int(lengths.max(initial=0))
+        there = np.arange(depths) < lengths[:, None]
+        table = np.zeros((3, *there.shape), dtype=np.int64)
+        table[:, there] = items
+        same = (table[:, 1:] == table[:, :-1]).all(axis=0) & there[1:] & there[:-1]
+        shared = np.concatenate([[0], np.logical_and.accumulate(same, axis=1).sum(axis=1)])  # with the row before
+        for depth in range(1, depths):
+            first = np.flatnonzero(shared <= depth)  # rows that open a node here, or end before
+            below = np.add.reduceat(times, first)
+            here = lengths[first] > depth
+            self._add(table[:, first[here], :depth], table[:, first[here], depth, None], below[here])
+        self._merge()
+
+    def _add(self, above: np.ndarray, node: np.ndarray, times: np.ndarray) -> None:
+        """Add nodes of one depth (rank, p, zero) with their ancestors."""
+        (ranks, p, p0), (mine, q, q0) = above, node
+        self.nodes += ranks.size
+        there, back = np.zeros_like(p), np.zeros_like(p)
         for a, b, sign in ((p, q, 1), (p, q0, -1), (p0, q, -1), (p0, q0, 1)):
             square = (a - b) * (a - b)
             there += sign * (square // b)
             back += sign * (square // a)
-        for i, of in enumerate(mine[:, 0].tolist()):
-            above = depth + i
-            self._add(of, ranks[:above], np.stack([there[i, :above], back[i, :above]]), int(times[i]))
-            self.nodes += above
-        self.items, self.below = items[:keep], below[:keep]
-
-    def _add(self, rank: int, others: np.ndarray, values: np.ndarray, times: int) -> None:
-        most = float(np.abs(values).max()) * times
-        if most > SAFE:
-            for other, there, back in zip(others.tolist(), *values.tolist(), strict=True):
-                self.away[other, rank] += there * times
-                self.away[rank, other] += back * times
+        most = np.maximum(np.abs(there), np.abs(back)).max(axis=1).astype(float) * times
+        large = most * ranks.shape[1] > SAFE
+        for i in np.flatnonzero(large).tolist():
+            of, n = int(mine[i, 0]), int(times[i])
+            for other, v, w in zip(ranks[i].tolist(), there[i].tolist(), back[i].tolist(), strict=True):
+                self.away[other, of] += v * n
+                self.away[of, other] += w * n
+        most = float(most[~large].sum()) * ranks.shape[1]
+        if most > SAFE:  # one after the other, each is small enough
+            for i in np.flatnonzero(~large):
+                self._hold(mine[[i]], ranks[[i]], there[[i]] * times[i], back[[i]] * times[i])
+                self._put_away()
             return
         self.bound += most
         if self.bound > SAFE:
             self._put_away()
             self.bound = most
-        if others.max() >= self.width:
-            self._put_away()
-            self.width = 2 * int(others.max())
-        if rank not in self.sums:
-            self.sums[rank] = np.zeros((2, self.width), dtype=np.int64)
-        self.sums[rank][:, others] += values * times
+        if not large.all():
+            n = times[~large, None]
+            self._hold(mine[~large], ranks[~large], there[~large] * n, back[~large] * n)
+
+    def _hold(self, mine: np.ndarray, ranks: np.ndarray, there: np.ndarray, back: np.ndarray) -> None:
+        self.found.append(np.stack([np.broadcast_to(mine, ranks.shape).ravel(), *[x.ravel() for x in (ranks, there, back)]]))
+        self.held += ranks.size
+
+    def _merge(self) -> None:
+        """One column per pair of sources."""
+        if len(self.found) > 1:
+            rank, other, *values = np.concatenate(self.found, axis=1)
+            order = np.lexsort((other, rank))
+            rank, other = rank[order], other[order]
+            first = np.flatnonzero(np.concatenate([[True], (rank[1:] != rank[:-1]) | (other[1:] != other[:-1])]))
+            self.found = [np.stack([rank[first], other[first], *[np.add.reduceat(v[order], first) for v in values]])]
+            self.held = len(first)
 
     def _put_away(self) -> None:
-        for rank, (there, back) in self.sums.items():
-            for other in np.flatnonzero(there | back).tolist():
-                self.away[other, rank] += int(there[other])
-                self.away[rank, other] += int(back[other])
-        self.sums.clear()
+        self._merge()
+        for found in self.found:
+            for rank, other, there, back in found.T.tolist():
+                self.away[other, rank] += there
+                self.away[rank, other] += back
+        self.found.clear()
+        self.held = 0
 
     def flush(self) -> list[tuple[int, int, int]]:
         """All sums of closed nodes, which are forgotten."""
@@ -195,16 +228,20 @@ def tree_sums(terms: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, out, strict=True)], schema=out)
 
         for batch in batches:
-            rows = batch.to_pydict()
-            for lang, times, *path in zip(*[rows[c] for c in ("lang", "times", "rank", "p", "zero")], strict=True):
-                if lang != of:
-                    tree.close()
-                    yield flushed(of)
-                    of = lang
-                tree.insert(list(zip(*path, strict=True)), times)
-                if tree.cells > CELLS:
+            langs = batch.column("lang").to_numpy(zero_copy_only=False)
+            times = batch.column("times").to_numpy()
+            lengths = batch.column("rank").value_lengths().to_numpy().astype(np.int64)
+            items = np.stack([batch.column(c).flatten().to_numpy() for c in ("rank", "p", "zero")]).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            starts = [0, *(np.flatnonzero(langs[1:] != langs[:-1]) + 1).tolist(), len(langs)]
+            for i, j in pairwise(starts):
+                if i < j and langs[i] != of:
                     yield flushed(of)
-        tree.close()
+                    of = langs[i]
+                for a, b in pieces(lengths, i, j):
+                    tree.close_table(lengths[a:b], items[:, ends[a] : ends[b]], times[a:b])
+                    if tree.cells > CELLS:
+                        yield flushed(of)
         yield flushed(of)
 
     made = rows.mapInArrow(sums, "lang string, rank long, other long, sum string")

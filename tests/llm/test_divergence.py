@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
 from stayscope.llm import divergence
@@ -114,6 +115,27 @@ def test_long_paths(spark):
     assert found[298, 299] == -times * (f // 10**9 + f) and len(found) == 299 * 298
 
 
+def test_rows_are_closed_by_the_table():
+    """A table of rows is closed at a time, and of its sums a column per pair of sources is kept."""
+    pick, tree = np.random.default_rng(5), divergence.PairTree()
+    there = pick.random((40_000, 12)) < 0.6
+    lengths, ranks = there.sum(axis=1), np.nonzero(there)[1] + 1
+    times, items = np.ones(len(there), dtype=np.int64), np.stack([ranks, 100 + ranks, 5 + ranks])
+    ends, tables = np.concatenate([[0], np.cumsum(lengths)]), 0
+    for a, b in divergence.pieces(lengths, 0, len(there)):
+        tree.close_table(lengths[a:b], items[:, ends[a] : ends[b]], times[a:b])
+        tables += 1
+    assert tables < 10 and tree.cells == 2 * 66  # a column per pair is kept, whatever the number of rows
+
+    def f(a, b):
+        return (a - b) ** 2 // b
+
+    both = there.astype(int).T @ there
+    for a, b, v in tree.flush():
+        p, p0, q, q0 = 100 + a, 5 + a, 100 + b, 5 + b
+        assert v == both[a - 1, b - 1] * (f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0))
+
+
 def test_messy_table_against_sql(spark, messy, rows, tmp_path):
     docs = messy.unionByName(messy).unionByName(messy)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
