@@ -241,7 +241,7 @@ def _remarks(spark, sf_dir):
 def _sentiment(spark, sf_dir, ngrams):
     rows = cut_lineage(_remarks(spark, sf_dir))
     train, test = hash_split(rows, ["text", "label"], [0.8, 0.2])
-    model = L.fit_all(train, {"m": L.sentiment_model(ngrams)})["m"]
+    model = L.fit_texts(train, ngrams)
     scored = cut_lineage(L.score_texts(model, test))
     quality = M.class_metrics(scored, "label", "prediction", positive=0)
     return quality.withColumn("auc", M.auc(scored, "label", "p_positive").scalar())
@@ -270,7 +270,7 @@ def streamed_alerts(spark, sf_dir):
     """Alerts on a stream of remarks next to those on the same remarks as a table."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     rows = save_checkpoint(_remarks(spark, sf_dir), folder, "remarks")
-    model = L.fit_all(rows, {"m": L.sentiment_model((1, 2))})["m"]
+    model = L.fit_texts(rows, (1, 2))
     stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/checkpoint-remarks")
     query = score_stream(model, stream, 0.9, f"{folder}/alerts", f"{folder}/progress")
     query.awaitTermination()
@@ -288,7 +288,7 @@ def streamed_scores(spark, sf_dir):
     """Texts a stream scored with a saved and loaded model, per label; rows unlike those scored as a table."""
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     rows = save_checkpoint(_remarks(spark, sf_dir), folder, "remarks")
-    L.fit_all(rows, {"m": L.sentiment_model((1,), features=1000)})["m"].write().save(f"{folder}/model")
+    L.fit_texts(rows, (1,), features=1000).write().save(f"{folder}/model")
     model = PipelineModel.load(f"{folder}/model")
     stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/checkpoint-remarks")
     score_stream(model, stream, -1.0, f"{folder}/scores", f"{folder}/progress").awaitTermination()

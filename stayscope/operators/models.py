@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.operators.metrics import class_metrics, regression_metrics
+from stayscope.sources.checkpoints import cut_lineage
 
 
 def regressors(
@@ -56,6 +57,26 @@ def classifiers(
     }
 
 
+def fit_prepared(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit a pipeline whose first stages learn nothing, with what they make of the rows stored once.
+
+    Estimators read their input several times and would have every text cut, cleaned and hashed again each
+    time. Only the columns that the later stages name are stored, so no text takes the place of their caches.
+    """
+    stages = pipeline.getStages()
+    learnt = next((i for i, stage in enumerate(stages) if not isinstance(stage, Transformer)), len(stages))
+    made = PipelineModel(stages[:learnt]).transform(train)
+    given = [s.getOrDefault(p) for s in stages[learnt:] for p in s.params if "Col" in p.name and s.isDefined(p)]
+    named = {c for value in given for c in (value if isinstance(value, list) else [value])}
+    stored = cut_lineage(made.select(*[c for c in made.columns if c in named]))
+    return PipelineModel([*stages[:learnt], *Pipeline(stages=stages[learnt:]).fit(stored).stages])
+
+
+def fit_texts(train: DataFrame, ngrams: Sequence[int] = (1,), features: int = 10_000) -> PipelineModel:
+    """The text classifier fitted on texts and labels; see `sentiment_model`."""
+    return fit_prepared(sentiment_model(ngrams, features), train)
+
+
 def fit_all(train: DataFrame, estimators: Mapping[str, Estimator]) -> dict[str, Model]:
     """Fit every estimator on one cached copy of the training rows."""
     train = train.persist()

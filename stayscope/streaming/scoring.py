@@ -11,8 +11,13 @@ from stayscope.operators.models import score_texts
 
 
 def negative_alerts(model: Model, texts: DataFrame, threshold: float, text: str = "text") -> DataFrame:
-    """Texts whose chance of being negative exceeds `threshold`; for tables and for streams."""
-    return score_texts(model, texts, text).where(F.col("p_negative") > threshold)
+    """Texts whose chance of being negative exceeds `threshold`; for tables and for streams.
+
+    The condition looks at the finished row: as a filter, Spark would move it below the model and score each text twice.
+    """
+    scored = score_texts(model, texts, text)
+    row = F.struct(*scored.columns)
+    return scored.select(F.inline(F.filter(F.array(row), lambda r: r["p_negative"] > threshold)))
 
 
 def score_stream(
