@@ -187,6 +187,11 @@ def _hotels(spark, sf_dir):
     return cut_lineage(R.with_stars(R.hotel_features(df, R.hotels_of(df))))
 
 
+def _hotel_rows(spark, sf_dir):
+    """Hotel features as models take them, with 0 words where no remark of a hotel says anything."""
+    return R.without_words_zero(_hotels(spark, sf_dir))
+
+
 def _star_rows(spark, sf_dir):
     rows = assemble(_hotels(spark, sf_dir), R.STAR_FEATURES)
     return rows.withColumn("label", F.col("star_rating_adj").cast("double"))
@@ -227,7 +232,7 @@ def misjudged_hotels(spark, sf_dir):
 @entries.add()
 def actual_and_predicted_scores(spark, sf_dir):
     """Mean score and its prediction for held-out hotels."""
-    rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES)
+    rows = assemble(_hotel_rows(spark, sf_dir), R.REGRESSION_FEATURES)
     rows = rows.withColumn("label", F.col("avg_Average_Score"))
     train, test = hash_split(rows, ["Hotel_Name", "Hotel_Address"], [0.8, 0.2])
     return L.actual_vs_predicted(L.regressors()["Linear Regression"].fit(train).transform(test))

@@ -23,7 +23,7 @@ from stayscope.operators.encode import index_categories
 from stayscope.operators.features import entity_features
 from stayscope.operators.geo import suffix_lookup
 from stayscope.operators.lemma import lemmatize
-from stayscope.operators.quality import DISGUISED_NULLS, blank_to_null, neutralise, nullify, to_float
+from stayscope.operators.quality import DISGUISED_NULLS, blank_to_null, map_columns, neutralise, nullify, to_float
 from stayscope.operators.tokens import (
     remove_stop_words,
     says_no,
@@ -83,6 +83,7 @@ REVIEW_SEGMENT_FEATURES = [
     "Total_Number_of_Reviews_Reviewer_Has_Given",
     "days_since_review",
 ]
+WORD_COUNTS = ["avg_Positive_Lemma_Count", "avg_Negative_Lemma_Count"]
 HOTEL_COLUMNS = ["Hotel_Name", "Hotel_Address", "Average_Score", "Total_Number_of_Reviews", "lng", "lat"]
 
 
@@ -164,6 +165,14 @@ def hotel_features(df: DataFrame, hotels: DataFrame | None = None, min_rows: int
     return entity_features(df, "Hotel_Name", AVERAGED, min_rows, hotels)
 
 
+def without_words_zero(features: DataFrame) -> DataFrame:
+    """Features in which a hotel has 0 words on a side on which none of its remarks says anything.
+
+    A remark that says nothing has no count, so such a hotel has no mean. Any other missing value stays.
+    """
+    return map_columns(features, WORD_COUNTS, lambda c: F.coalesce(c, F.lit(0.0)))
+
+
 def with_stars(features: DataFrame) -> DataFrame:
     """Stars 1 to 5 by mean score, and the same counted from 0."""
     stars = features.withColumn("star_rating", star_rating("avg_Average_Score"))
