@@ -44,6 +44,7 @@ def held_out(hotels):
 # What each query says of how many rows or hotels it took, and what that must be.
 WHOLE = {
     "actual_and_predicted_scores": (lambda df: df.count(), held_out),
+    "hotel_score_regressors": (lambda df: [r["n"] for r in df.collect()], lambda hotels: [held_out(hotels)] * 3),
 }
 
 
