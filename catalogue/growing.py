@@ -8,7 +8,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from catalogue.base import Entries, table
-from catalogue.learning import _hotels
+from catalogue.learning import _hotel_rows, _hotels
 from stayscope.operators import sketches as K
 from stayscope.operators import validation as V
 from stayscope.operators.binned import binned_density
@@ -49,7 +49,7 @@ def prices_with_segments(spark, sf_dir):
 @entries.add()
 def hotel_scores_with_segments(spark, sf_dir):
     """Out-of-fold errors of two regressors of the mean score, each with and without the hotel's segment."""
-    rows = assemble(_hotels(spark, sf_dir), R.REGRESSION_FEATURES).withColumn("label", F.col("avg_Average_Score"))
+    rows = assemble(_hotel_rows(spark, sf_dir), R.REGRESSION_FEATURES).withColumn("label", F.col("avg_Average_Score"))
     plain = {"line": LinearRegression(), "forest": RandomForestRegressor(numTrees=20, seed=42)}
     return V.fold_errors(V.out_of_fold(rows, with_and_without(plain, 4), ["Hotel_Name", "Hotel_Address"], k=3))
 
