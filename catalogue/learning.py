@@ -323,7 +323,7 @@ def hotel_segments(spark, sf_dir):
 @entries.add()
 def hotel_segment_means(spark, sf_dir):
     """Scaled feature means of the segments."""
-    rows = C.segment(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, 4, "bisecting")
+    rows = C.segment(_hotel_rows(spark, sf_dir), R.SEGMENT_FEATURES, 4, "bisecting")
     return C.cluster_profile(rows, "cluster", R.SEGMENT_FEATURES, normalise=True)
 
 

@@ -46,6 +46,7 @@ WHOLE = {
     "actual_and_predicted_scores": (lambda df: df.count(), held_out),
     "hotel_score_regressors": (lambda df: [r["n"] for r in df.collect()], lambda hotels: [held_out(hotels)] * 3),
     "hotel_scores_with_segments": (lambda df: [r["n"] for r in df.groupBy("params").agg(F.sum("n").alias("n")).collect()], [N] * 4),
+    "hotel_segment_means": (lambda df: df.count(), 4),
 }
 
 
