@@ -311,7 +311,7 @@ def streamed_scores(spark, sf_dir):
 @entries.add()
 def hotel_segments(spark, sf_dir):
     """Hotels per segment and star rating, by both clusterings."""
-    hotels = _hotels(spark, sf_dir)
+    hotels = _hotel_rows(spark, sf_dir)
     parts = []
     for method in ("kmeans", "bisecting"):
         rows = C.segment(hotels, R.SEGMENT_FEATURES, 4, method)
