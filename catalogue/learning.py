@@ -347,7 +347,7 @@ def segment_silhouettes(spark, sf_dir):
 @entries.add()
 def hotels_in_two_dimensions(spark, sf_dir):
     """Hotels on their first two principal components, with their segment."""
-    rows = C.segment(_hotels(spark, sf_dir), R.SEGMENT_FEATURES, 4)
+    rows = C.segment(_hotel_rows(spark, sf_dir), R.SEGMENT_FEATURES, 4)
     return project_2d(rows).select("Hotel_Name", "cluster", "pc1", "pc2")
 
 

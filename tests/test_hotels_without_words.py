@@ -48,6 +48,7 @@ WHOLE = {
     "hotel_scores_with_segments": (lambda df: [r["n"] for r in df.groupBy("params").agg(F.sum("n").alias("n")).collect()], [N] * 4),
     "hotel_segment_means": (lambda df: df.count(), 4),
     "hotel_segments": (lambda df: {r["method"]: r["n"] for r in df.groupBy("method").agg(F.sum("n").alias("n")).collect()}, {"kmeans": N, "bisecting": N}),
+    "hotels_in_two_dimensions": (lambda df: {r["Hotel_Name"] for r in df.collect()}, {f"h{i}" for i in range(N)}),
 }
 
 
