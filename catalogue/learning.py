@@ -193,7 +193,7 @@ def _hotel_rows(spark, sf_dir):
 
 
 def _star_rows(spark, sf_dir):
-    rows = assemble(_hotels(spark, sf_dir), R.STAR_FEATURES)
+    rows = assemble(_hotel_rows(spark, sf_dir), R.STAR_FEATURES)
     return rows.withColumn("label", F.col("star_rating_adj").cast("double"))
 
 
