@@ -330,7 +330,7 @@ def hotel_segment_means(spark, sf_dir):
 @entries.add()
 def segment_elbow(spark, sf_dir):
     """Within-segment distances for two to eight segments."""
-    return C.elbow(_hotels(spark, sf_dir), R.SEGMENT_FEATURES)
+    return C.elbow(_hotel_rows(spark, sf_dir), R.SEGMENT_FEATURES)
 
 
 @entries.add()

@@ -50,6 +50,7 @@ WHOLE = {
     "hotel_segments": (lambda df: {r["method"]: r["n"] for r in df.groupBy("method").agg(F.sum("n").alias("n")).collect()}, {"kmeans": N, "bisecting": N}),
     "hotels_in_two_dimensions": (lambda df: {r["Hotel_Name"] for r in df.collect()}, {f"h{i}" for i in range(N)}),
     "misjudged_hotels": (lambda df: df.where("avg_Average_Score IS NULL").count(), 0),
+    "segment_elbow": (lambda df: [r["k"] for r in df.collect()], [2, 3, 4, 5, 6, 7, 8]),
 }
 
 
