@@ -51,6 +51,7 @@ WHOLE = {
     "hotels_in_two_dimensions": (lambda df: {r["Hotel_Name"] for r in df.collect()}, {f"h{i}" for i in range(N)}),
     "misjudged_hotels": (lambda df: df.where("avg_Average_Score IS NULL").count(), 0),
     "segment_elbow": (lambda df: [r["k"] for r in df.collect()], [2, 3, 4, 5, 6, 7, 8]),
+    "segment_silhouettes": (lambda df: {r["method"] for r in df.collect()}, {"kmeans", "bisecting"}),
 }
 
 
