@@ -53,6 +53,7 @@ WHOLE = {
     "segment_elbow": (lambda df: [r["k"] for r in df.collect()], [2, 3, 4, 5, 6, 7, 8]),
     "segment_silhouettes": (lambda df: {r["method"] for r in df.collect()}, {"kmeans", "bisecting"}),
     "star_classifiers": (lambda df: df.count(), 4),
+    "star_importances": (lambda df: df.count(), len(learning.R.STAR_FEATURES)),
 }
 
 
