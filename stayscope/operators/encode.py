@@ -37,14 +37,15 @@ def index_labels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def apply_index(df: DataFrame, labels: DataFrame, outs: Mapping[str, str]) -> DataFrame:
     """Add to each column in `outs` its index under the given name.
 
-    NULL and values without a label take the number of labels of their column.
+    NULL and values without a label take the number of labels of their column. `labels` holds a value of
+    a column once; rows do not move for an index that nothing uses later.
     """
     for col, out in outs.items():
         mine = labels.where(F.col("column") == col)
         unknown = mine.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
         key = f"_{col}_key"
         table = mine.select(F.col("value").alias(key), F.col("index").alias(out))
-        coded = attach(df.withColumn(key, F.col(col).cast("string")), table, key)
+        coded = attach(df.withColumn(key, F.col(col).cast("string")), table, key, unique=True)
         df = coded.select(*df.columns, F.coalesce(F.col(out), unknown).alias(out))
     return df
 

@@ -34,6 +34,7 @@ def attach(
     how: str = "left",
     max_broadcast: int = BROADCAST_ROWS,
     tasks: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Join `table` to `df` on equal column names.
 
@@ -44,7 +45,8 @@ def attach(
     size Spark expects: it goes by the compressed file, of which the salted rows are a large
     multiple, and would collect them on the driver. `table` should be cheap to count, as it is
     after `cut_lineage`. Narrow rows with very many matches are too much work for the few tasks
-    that their bytes make: `tasks` then says over how many the two are merged.
+    that their bytes make: `tasks` then says over how many the two are merged. A table that is known
+    to hold a key once is `unique`: Spark then drops the left join if nothing of the table is used later.
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(table, max_broadcast):
@@ -52,6 +54,8 @@ def attach(
     salt = "_salt"
     salted = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
     repeated = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if unique:
+        repeated = repeated.groupBy(*on, salt).agg(*[F.first(c).alias(c) for c in table.columns if c not in on])
     if tasks:
         salted, repeated = (side.repartition(tasks, *on, salt) for side in (salted, repeated))
     return salted.join(repeated.hint("merge"), [*on, salt], how).drop(salt)

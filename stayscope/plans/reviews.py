@@ -6,6 +6,8 @@ returns a DataFrame and can be used on its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,18 +89,37 @@ WORD_COUNTS = ["avg_Positive_Lemma_Count", "avg_Negative_Lemma_Count"]
 HOTEL_COLUMNS = ["Hotel_Name", "Hotel_Address", "Average_Score", "Total_Number_of_Reviews", "lng", "lat"]
 
 
-def repair(raw: DataFrame) -> DataFrame:
-    """Blanks, disguised NULLs and placeholders to NULL, then one row per distinct row.
-
-    A caller whose result depends on some columns only, however often their values occur, selects
-    them first: what is moved for the distinct is then as wide as those columns.
-    """
+def repaired(raw: DataFrame) -> DataFrame:
+    """Blanks, disguised NULLs and placeholders to NULL."""
     placeholders = {"Negative_Review": ["No Negative"], "Positive_Review": ["No Positive"]}
     texts = {c: found for c, found in placeholders.items() if c in raw.columns}
     df = nullify(blank_to_null(raw), list(texts), DISGUISED_NULLS)
     for c, found in texts.items():
         df = nullify(df, [c], found, trim=False)
-    return df.distinct()
+    return df
+
+
+def repair(raw: DataFrame) -> DataFrame:
+    """Blanks, disguised NULLs and placeholders to NULL, then one row per distinct row.
+
+    A caller whose result depends on some columns only, however often their values occur, selects
+    them first: what is moved for the distinct is then as wide as those columns. One that needs some
+    columns of the distinct whole rows takes `repair_to`.
+    """
+    return repaired(raw).distinct()
+
+
+def repair_to(raw: DataFrame, step: Callable[[DataFrame], DataFrame], cols: Sequence[str]) -> DataFrame:
+    """`cols` of `step` after `repair`, for a `step` that makes each row from one row and keeps its other columns.
+
+    The step comes first, and whole rows are told apart by the SHA-256 of all their columns: that and
+    `cols` are moved for the distinct instead of the texts.
+    """
+    df = repaired(raw)
+    zeros = [F.col(c) + F.lit(0.0) if kind == "double" else F.col(c) for c, kind in df.dtypes]  # -0.0 is 0.0
+    whole = F.to_json(F.struct(*[v.alias(c) for c, v in zip(df.columns, zeros, strict=True)]))
+    marked = df.withColumn("_whole", F.unhex(F.sha2(whole, 256)))
+    return step(marked).select("_whole", *cols).distinct().drop("_whole")
 
 
 def typed(df: DataFrame) -> DataFrame:
