@@ -364,8 +364,8 @@ def hotels_in_two_dimensions(spark, sf_dir):
 @entries.add()
 def review_segments(spark, sf_dir):
     """Size of four segments of single reviews, missing counts as 0."""
-    df = R.tokenised(R.typed(R.repair(raw_reviews(spark, sf_dir))))
-    rows = C.segment(even_rows(cut_lineage(df.select(*R.REVIEW_SEGMENT_FEATURES))), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
+    df = _cleaned(spark, sf_dir, R.REVIEW_SEGMENT_FEATURES)
+    rows = C.segment(even_rows(cut_lineage(df)), R.REVIEW_SEGMENT_FEATURES, 4, nulls="zero")
     return group_counts(rows, ["cluster"])
 
 
